@@ -57,8 +57,14 @@ def over_series(
     halo = _rows_before_each_block(blocks, order, reach)
     window = Window.partitionBy("symbol", "_block").orderBy(*order, "_copy")
     extended = blocks.unionByName(halo).withColumns(_bind(expressions, window))
+
     columns = [*bars.columns, *expressions]
-    return cold.select(columns).unionByName(_expand_copies(extended, columns))
+    further = _further_copies(packed, bars.columns, expressions, reach)
+    return (
+        cold.select(columns)
+        .unionByName(extended.filter(~F.col("_halo")).select(columns))
+        .unionByName(further.select(columns))
+    )
 
 
 def _bind(expressions: Expressions, window: WindowSpec) -> dict[str, Column]:
@@ -85,59 +91,39 @@ def _collapse_copies(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _cut_into_blocks(packed: DataFrame, order: list[str], reach: int) -> DataFrame:
-    """Number the blocks of each symbol and spell out the first copies of each row.
-
-    Past ``reach`` copies of a row, a further copy sees nothing but itself, so
-    all further copies share one row with their number in ``_weight``.
-    """
+    """Number the blocks of each symbol and spell out the first ``reach + 1`` copies of each row."""
     content = F.xxhash64(*[c for c in packed.columns if not c.startswith("_")])
     every = F.greatest(F.lit(1), F.col("_block_rows") / SAMPLES_PER_BLOCK).cast("long")
     # "_copies > 0" keeps the count in this branch, so that all branches read
     # the same shuffle of the collapsed rows.
     samples = packed.filter((F.col("_copies") > 0) & (F.pmod(content, every) == 0))
-    cuts = samples.groupBy(F.col("symbol").alias("_of")).agg(
-        F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts")
-    )
-    cuts = cuts.withColumn(
-        "_cuts", F.filter("_cuts", lambda _, i: i % SAMPLES_PER_BLOCK == SAMPLES_PER_BLOCK - 1)
-    )
-
-    # The number of cuts at or before the row, by binary search.
-    row = F.struct(*order)
-    steps = F.array(*[F.lit(1 << bit) for bit in range(16, -1, -1)])
-    block = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= F.size("_cuts")) & (F.get("_cuts", found + step - 1) <= row),
-            found + step,
-        ).otherwise(found),
-    )
-    numbered = packed.join(
-        F.broadcast(cuts), F.col("symbol").eqNullSafe(F.col("_of")), "left"
-    ).withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(block))
+    cuts = samples.agg(F.sort_array(F.collect_list(F.struct("symbol", *order))).alias("all"))
+    cuts = cuts.select(
+        F.filter("all", lambda _, i: i % SAMPLES_PER_BLOCK == SAMPLES_PER_BLOCK - 1)
+    ).scalar()
+
+    # A row's block is the number of cuts at or before it, found by binary
+    # search. The cuts are one value per query, not a column of every row.
+    row = F.struct("symbol", *order)
+    numbered = packed.withColumn("_block", F.lit(0))
+    for bit in reversed(range(MAX_BLOCKS.bit_length())):
+        step = 1 << bit
+        passed = F.get(cuts, F.col("_block") + step - 1) <= row
+        numbered = numbered.withColumn(
+            "_block", F.col("_block") + F.when(F.coalesce(passed, F.lit(False)), step).otherwise(0)
+        )
 
-    spelled = reach + 1
     return numbered.select(
         "symbol",
         *order,
         "_block",
-        "_copies",
-        F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(spelled)).cast("int"))).alias("_copy"),
-    ).select(
-        "symbol",
-        *order,
-        "_block",
-        "_copy",
-        F.when(F.col("_copy") == spelled, F.col("_copies") - reach)
-        .otherwise(F.lit(1))
-        .cast("long")
-        .alias("_weight"),
+        F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(reach + 1)).cast("int"))).alias("_copy"),
+        F.lit(False).alias("_halo"),
     )
 
 
 def _rows_before_each_block(blocks: DataFrame, order: list[str], reach: int) -> DataFrame:
-    """The ``reach`` rows before each block, numbered into that block with weight 0.
+    """The ``reach`` rows before each block, numbered into that block and marked.
 
     Only the last ``reach`` rows of a block are shuffled, and the window over
     them sees one row per block. A block holds at least one row, so ``reach``
@@ -156,22 +142,28 @@ def _rows_before_each_block(blocks: DataFrame, order: list[str], reach: int) ->
     before = tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
     last = F.filter("_before", lambda _, i: i >= F.size("_before") - reach)
     return before.select("symbol", "_block", F.explode(last).alias("_row")).select(
-        "symbol", "_block", "_row.*", F.lit(0).cast("long").alias("_weight")
+        "symbol", "_block", "_row.*", F.lit(True).alias("_halo")
     )
 
 
-def _expand_copies(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row as often as its weight; heavy rows are spread over tasks first."""
-    single = rows.filter("_weight = 1").select(columns)
-    pieces = rows.filter("_weight > 1").select(
-        *columns,
-        "_weight",
-        F.explode(F.expr(f"sequence(0L, _weight - 1, {COPIES_PER_TASK}L)")).alias("_start"),
+def _further_copies(
+    packed: DataFrame, columns: list[str], expressions: Expressions, reach: int
+) -> DataFrame:
+    """The copies of a row past ``reach + 1``: they see nothing but copies of themselves.
+
+    So all of them carry the values of copy ``reach + 1`` of a series made of
+    that row alone. They are spread over tasks before they are spelled out.
+    """
+    many = packed.filter(F.col("_copies") > reach + 1).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.lit(reach + 1)))
+    )
+    alone = Window.partitionBy(*columns, "_block_rows").orderBy("_copy")
+    last = many.withColumns(_bind(expressions, alone)).filter(F.col("_copy") == reach + 1)
+    left = F.col("_copies") - (reach + 1)
+    pieces = last.withColumn("_left", left).withColumn(
+        "_start", F.explode(F.expr(f"sequence(0L, _left - 1, {COPIES_PER_TASK}L)"))
     )
-    repeated = pieces.repartition("symbol", "date", "_start").select(
-        *columns,
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.col("_weight") - F.col("_start"), F.lit(COPIES_PER_TASK)).cast("int"))
-        ).alias("_n"),
+    length = F.least(F.col("_left") - F.col("_start"), F.lit(COPIES_PER_TASK)).cast("int")
+    return pieces.repartition(*columns, "_start").withColumn(
+        "_n", F.explode(F.sequence(F.lit(1), length))
     )
-    return single.unionByName(repeated.select(columns))

@@ -31,7 +31,7 @@ AUDIT_DATE = dt.date(2000, 1, 1)
 RUN_DATE = dt.date(1998, 6, 30)
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "9-NONE"]
 # Low enough for the splitting of hot symbols to take part on small tables.
-SPLIT_ABOVE = 500
+SPLIT_ABOVE = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
