@@ -32,7 +32,7 @@ from candlewick.operators.report import (
     symbol_counts,
     symbol_summary,
 )
-from candlewick.plans.daily import run_day
+from candlewick.plans.daily import run_day, with_stored_history
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse, warehouse_rows
 from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, union_frames
@@ -75,6 +75,7 @@ __all__ = [
     "validate",
     "volume_category",
     "warehouse_rows",
+    "with_stored_history",
     "write_processed",
     "write_raw",
 ]

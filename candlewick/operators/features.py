@@ -107,14 +107,33 @@ def history_features(
     older: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Features of a clean ``batch`` as if computed over the stored rows and the batch together.
+    """Features of a clean ``batch`` as if computed over the stored rows and the batch together."""
+    context = history_context(batch, stored, rows, older)
+    return features_in_context(batch, context, rows=rows, **options)
 
-    Stored rows with a key of the batch are replaced by it. What a batch needs
-    are its symbols' stored rows between its first and last date and the last
-    ``rows - 1`` before.
 
-    ``stored`` and ``older`` (all earlier dates) let a daily run leave most of
-    the table unread: ``older`` is read only for symbols with too few rows in
+def features_in_context(batch: DataFrame, context: DataFrame, **options) -> DataFrame:
+    """Features of the batch's rows, with ``context`` rows in their series."""
+    merged = batch.withColumn("_new", F.lit(True)).unionByName(
+        context.withColumn("_new", F.lit(False)), allowMissingColumns=True
+    )
+    return add_features(merged, **options).filter("_new").drop("_new")
+
+
+def history_context(
+    batch: DataFrame,
+    stored: DataFrame,
+    rows: int = AVERAGE_ROWS,
+    older: DataFrame | None = None,
+) -> DataFrame:
+    """The stored rows that bear on the batch's features.
+
+    These are its symbols' rows between its first and last date, without the
+    keys it replaces, and the last ``rows - 1`` before.
+
+    ``older`` lets a daily run leave most of the table unread: with it,
+    ``stored`` starts at some date before the batch and ``older`` holds all
+    rows before that date. It is read only for symbols with too few rows in
     ``stored``, and not at all when there is no such symbol.
     """
     reach = max(rows - 1, 1)
@@ -140,11 +159,7 @@ def history_features(
             short.select("_of", "_first"), of_symbol & (F.col("date") < F.col("_first"))
         )
         context = context.unionByName(_last_rows(earlier, reach))
-
-    merged = batch.withColumn("_new", F.lit(True)).unionByName(
-        context.withColumn("_new", F.lit(False)), allowMissingColumns=True
-    )
-    return add_features(merged, rows=rows, **options).filter("_new").drop("_new")
+    return context
 
 
 def _last_rows(bars: DataFrame, count: int) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candlewick.functions.columns import is_missing
 from candlewick.schema import KEYS
@@ -69,10 +68,9 @@ def removal_counts(bars: DataFrame, run_date: dt.date) -> DataFrame:
 
 def missing_symbols(bars: DataFrame, universe: Iterable[str]) -> DataFrame:
     """Symbols of the expected universe that have no row."""
-    spark = bars.sparkSession
-    schema = T.StructType([T.StructField("symbol", T.StringType())])
     names = list(universe)
-    expected = spark.createDataFrame([(name,) for name in names], schema)
+    listed = F.array(*[F.lit(name) for name in names]).cast("array<string>")
+    expected = bars.sparkSession.range(0, 1, 1, 1).select(F.explode(listed).alias("symbol"))
     present = bars.filter(F.col("symbol").isin(names)).select("symbol").distinct()
     return expected.join(present, "symbol", "left_anti")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.columns import iso_date
 from candlewick.operators import features as feat
 from candlewick.operators import quality, replace, report
-from candlewick.plans.daily import run_day
+from candlewick.plans.daily import run_day, with_stored_history
 from candlewick.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse, warehouse_rows
@@ -284,13 +284,13 @@ def q_history_features(spark, sf_dir):
 
 
 def q_history_recent(spark, sf_dir):
-    """As ``history_features``, with the dates before 2001-07-25 read only for symbols short of rows."""
-    bars = q_clean_bars(spark, sf_dir)
-    batch = feat.lookback(bars, unique=True)
-    recent = F.col("date") >= F.lit(dt.date(2001, 7, 25))
-    return feat.history_features(
-        batch, bars.filter(recent), older=bars.filter(~recent), unique=True
-    )
+    """As ``history_features``, against a written table whose old rows are read only if needed."""
+    folder = scratch_folder(spark)
+    warehouse = Warehouse(spark, f"{folder}/table", period="year")
+    warehouse.load(q_transform_full(spark, sf_dir), "upsert_by_key")
+    batch = feat.lookback(q_clean_bars(spark, sf_dir), unique=True)
+    days = dt.timedelta(days=3)
+    return with_stored_history(batch, warehouse, f"{folder}/context", recent=days, unique=True)
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -419,16 +419,22 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
+def _round(value: str) -> str:
+    """Two places, half up on the decimal text, as the library rounds.
+
+    DuckDB's own ``round`` works on the binary value and takes some ties down.
+    """
+    return f"CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 2)) AS DOUBLE)"
+
+
 def _change(order: str = "date") -> str:
     previous = f"lag(close) OVER (PARTITION BY symbol ORDER BY {order})"
-    return f"round((close - {previous}) / {previous} * 100, 2) AS price_change_pct"
+    return f"{_round(f'(close - {previous}) / {previous} * 100')} AS price_change_pct"
 
 
 def _average(order: str = "date") -> str:
-    return (
-        f"round(avg(close) OVER (PARTITION BY symbol ORDER BY {order}"
-        " ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS moving_avg_7d"
-    )
+    mean = f"avg(close) OVER (PARTITION BY symbol ORDER BY {order} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+    return f"{_round(mean)} AS moving_avg_7d"
 
 
 CATEGORY = (
@@ -507,8 +513,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {ROW_LIST}, {_average('date, order_key')} FROM order_rows", order_rows=ROWS_SQL
         ),
         "symbol_summary": _with(
-            "SELECT symbol, round(max(close), 2) AS max_close, round(min(close), 2) AS min_close,"
-            " round(avg(close), 2) AS avg_close FROM featured GROUP BY symbol ORDER BY symbol"
+            f"SELECT symbol, {_round('max(close)')} AS max_close, {_round('min(close)')} AS min_close,"
+            f" {_round('avg(close)')} AS avg_close FROM featured GROUP BY symbol ORDER BY symbol"
         ),
         "row_counts": _with(
             f"""SELECT count(*) AS total_rows,

@@ -13,7 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from candlewick.operators.features import features, history_features, lookback
+from candlewick.operators.features import (
+    add_features,
+    features,
+    features_in_context,
+    history_context,
+    lookback,
+)
 from candlewick.operators.quality import (
     clean,
     missing_symbols,
@@ -22,7 +28,7 @@ from candlewick.operators.quality import (
     validate,
 )
 from candlewick.operators.report import run_summary, symbol_summary
-from candlewick.schema import LOOKBACK_SESSIONS, UNIVERSE
+from candlewick.schema import AVERAGE_ROWS, BAR_SCHEMA, LOOKBACK_SESSIONS, UNIVERSE
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse
 from candlewick.sources.bars import read_vendor
@@ -71,10 +77,9 @@ def run_day(
 
     raw = read_raw(spark, raw_uri, run_date)
     transformed = Observation()
-    if use_history and warehouse.exists():
-        since = run_date - RECENT
-        older = warehouse.read(last=since - dt.timedelta(days=1))
-        rows = history_features(clean(raw), warehouse.read(first=since), older=older, **options)
+    if use_history:
+        context_uri = f"{lake_uri}/history/run_date={run_date:%Y-%m-%d}"
+        rows = with_stored_history(clean(raw), warehouse, context_uri, **options)
     else:
         rows = features(raw, **options)
     rows = rows.observe(transformed, F.count(F.lit(1)).alias("rows"))
@@ -91,6 +96,31 @@ def run_day(
     )
 
 
+def with_stored_history(
+    batch: DataFrame,
+    warehouse: Warehouse,
+    context_uri: str,
+    recent: dt.timedelta = RECENT,
+    rows: int = AVERAGE_ROWS,
+    **options,
+) -> DataFrame:
+    """Features of ``batch`` together with the stored rows before and between its rows.
+
+    The table is read from ``recent`` before the batch to its last date, and
+    further back only for symbols with too few rows in that time. The few rows
+    found are written to ``context_uri``, so that no later step reads the table.
+    """
+    first, last = batch.agg(F.min("date"), F.max("date")).first()
+    if first is None or not warehouse.exists():
+        return add_features(batch, rows=rows, **options)
+    since = first - recent
+    older = warehouse.read(last=since - dt.timedelta(days=1))
+    context = history_context(batch, warehouse.read(since, last), rows, older)
+    context.write.mode("overwrite").parquet(context_uri)
+    written = batch.sparkSession.read.schema(BAR_SCHEMA).parquet(context_uri)
+    return features_in_context(batch, written, rows=rows, **options)
+
+
 def extract(fetched: DataFrame, raw_uri: str, run_date: dt.date) -> dict[str, int]:
     """Land the valid bars; the counts come from the same job."""
     seen = Observation()

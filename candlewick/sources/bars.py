@@ -75,7 +75,7 @@ def daily_bars(
     """One bar per symbol and calendar day.
 
     Open and close are the prices at the smallest and largest ``order`` of the
-    day. Every aggregate is combined map-side, so a hot symbol or day shuffles
+    day, which must not repeat within a bar. Every aggregate is combined map-side, so a hot symbol or day shuffles
     one row per map task and key. ``first_order`` names an extra column holding
     the smallest ``order`` of the bar.
     """

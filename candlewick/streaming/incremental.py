@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewick.operators.features import add_features, history_features
 from candlewick.operators.quality import clean, dedupe
+from candlewick.plans.daily import with_stored_history
 from candlewick.schema import RAW_CSV_SCHEMA
 from candlewick.sinks.warehouse import Warehouse
 from candlewick.sources.bars import whole_volume
@@ -30,10 +30,7 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         latest = dedupe(batch, "run_date").drop("run_date")
-        if warehouse.exists():
-            rows = history_features(latest, warehouse.read())
-        else:
-            rows = add_features(latest, unique=True)
+        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}", unique=True)
         # Written once, because the load reads the batch several times.
         folder = f"{state_uri}/batches/{batch_id}"
         rows.write.mode("overwrite").parquet(folder)

@@ -122,8 +122,7 @@ NEIGHBOURS = {
 }
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("samples_per_block", [1, 3])
+@pytest.mark.parametrize("seed, samples_per_block", [(0, 1), (1, 3)])
 def test_hot_symbols_equal_brute_force(spark, monkeypatch, seed, samples_per_block):
     """Few dates, many copies, one hot symbol and date; blocks down to a single row."""
     monkeypatch.setattr(series_module, "SAMPLES_PER_BLOCK", samples_per_block)
@@ -198,9 +197,9 @@ def test_lookback_keeps_copies_and_null_symbols(spark):
 
 
 @pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("split", [None, 12, 35, 99])
+@pytest.mark.parametrize("split", [None, 0, 6, 10])
 def test_history_features_equal_one_shot(spark, seed, split):
-    """Any batch of rows, also a backfill between stored dates, with any reading boundary."""
+    """Any batch of rows, also a backfill between stored dates, with any boundary before it."""
     rng = random.Random(seed)
     data = [
         (day(i), s, float(rng.randrange(100, 999)) / 10, 1)

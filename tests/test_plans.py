@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry_point
 import pytest
+from bench import WRITING
 from helpers import series
 
 from candlewick.operators.features import add_features
@@ -54,7 +55,7 @@ def test_without_hot_symbols_only_the_plain_window_runs(spark):
 
 def test_no_python_and_no_cross_join(spark):
     for name, query in entry_point.queries().items():
-        if name in {"daily_run", "incremental_run"} or name.startswith("load_"):
+        if name in WRITING:
             continue
         text = plan(query(spark, SF_DIR))
         for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
