@@ -103,12 +103,13 @@ def _cut_into_blocks(packed: DataFrame, order: list[str], reach: int) -> DataFra
     ).scalar()
 
     # A row's block is the number of cuts at or before it, found by binary
-    # search. The cuts are one value per query, not a column of every row.
+    # search. The cuts are one value per query: the column refers to it inside
+    # one generated function and is gone before rows are written anywhere.
     row = F.struct("symbol", *order)
-    numbered = packed.withColumn("_block", F.lit(0))
+    numbered = packed.select("*", cuts.alias("_cuts"), F.lit(0).alias("_block"))
     for bit in reversed(range(MAX_BLOCKS.bit_length())):
         step = 1 << bit
-        passed = F.get(cuts, F.col("_block") + step - 1) <= row
+        passed = F.get("_cuts", F.col("_block") + step - 1) <= row
         numbered = numbered.withColumn(
             "_block", F.col("_block") + F.when(F.coalesce(passed, F.lit(False)), step).otherwise(0)
         )
