@@ -1,6 +1,6 @@
 """Per-symbol features of daily bars.
 
-``tie``, ``unique`` and ``hot_rows`` are those of ``over_series``: say
+``tie``, ``unique``, ``hot_rows`` and ``split`` are those of ``over_series``: say
 ``unique=True`` when each symbol has one row per date (``daily_bars`` and
 ``dedupe`` give that); leave it out and hot symbols are split.
 """

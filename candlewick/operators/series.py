@@ -32,23 +32,25 @@ def over_series(
     tie: Sequence[str] = (),
     unique: bool = False,
     hot_rows: int = HOT_ROWS,
+    split: bool = True,
 ) -> DataFrame:
     """Add ``expressions``, each a function of a window that looks at most ``reach`` rows back.
 
     ``unique`` promises one row per symbol and date. Otherwise rows of one date
     are ordered by ``tie`` and then by the remaining columns, so the result
     does not depend on how the input is partitioned.
+
+    ``split=False`` plans the plain window only; it is for callers that have
+    found ``hot_symbols`` empty and want the smaller plan.
     """
-    if unique:
-        window = Window.partitionBy("symbol").orderBy("date")
+    rest = [c for c in bars.columns if c not in {"symbol", "date", *tie}]
+    order = ["date"] if unique else ["date", *tie, *rest]
+    window = Window.partitionBy("symbol").orderBy(*order)
+    if unique or not split:
         return bars.withColumns(_bind(expressions, window))
 
-    rest = [c for c in bars.columns if c not in {"symbol", "date", *tie}]
-    order = ["date", *tie, *rest]
     hot = hot_symbols(bars, hot_rows)
     is_hot = F.col("symbol").eqNullSafe(F.col("_hot"))
-
-    window = Window.partitionBy("symbol").orderBy(*order)
     cold = bars.join(F.broadcast(hot), is_hot, "left_anti")
     cold = cold.withColumns(_bind(expressions, window))
 

@@ -53,13 +53,21 @@ def test_literal_mode_repeats_rows(spark, landed):
 
 def test_with_history_the_frame_fills(spark, landed):
     table = Warehouse(spark, str(landed / "table"))
-    for number in range(4, 12):
+    for number in range(6, 12):
         run_day(table, str(landed / "vendor"), str(landed / "lake"), day(number), sessions=1, use_history=True)
     vendor = read_vendor(spark, str(landed / "vendor"), ["AAPL", "MSFT"])
-    since = F.col("date") >= F.lit(day(4))
+    since = F.col("date") >= F.lit(day(6))
     assert rows(table.read()) == rows(features(vendor.filter(since), unique=True))
 
 
+def test_hot_symbols_are_split(spark, landed):
+    plain = Warehouse(spark, str(landed / "plain"))
+    run_day(plain, str(landed / "vendor"), str(landed / "lake"), day(9), sessions=9)
+    split = Warehouse(spark, str(landed / "split"))
+    run_day(split, str(landed / "vendor"), str(landed / "lake"), day(9), sessions=9, hot_rows=4)
+    assert rows(plain.read()) == rows(split.read())
+
+
 def test_no_rows_at_all(spark, landed):
     table = Warehouse(spark, str(landed / "table"))
     with pytest.raises(ValueError, match="no data"):

@@ -142,6 +142,8 @@ def test_hot_symbols_equal_brute_force(spark, monkeypatch, seed, samples_per_blo
     expected = sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
     ours = series_module.over_series(frame, NEIGHBOURS, reach=6, hot_rows=6)
     assert nearly(rows(ours)) == nearly(expected)
+    plain = series_module.over_series(frame, NEIGHBOURS, reach=6, split=False)
+    assert rows(plain) == rows(ours)
     moved = series_module.over_series(frame.repartition(7), NEIGHBOURS, reach=6, hot_rows=6)
     assert rows(moved) == rows(ours)
 
