@@ -197,9 +197,10 @@ def solve(
             ]
             best = evolve(many, population, capacity, 1000 * number + island, size, generations)
             least = lower_bound(many, capacity)
+            bins = [-fitness(groups, capacity)[0] for groups in best]
             return pd.DataFrame(
                 [
-                    (island, member, -fitness(groups, capacity)[0], least, count, room, list(held), list(held.values()))
+                    (island, member, bins[member], least, count, room, list(held), list(held.values()))
                     for member, groups in enumerate(best)
                     for count, room, held in groups
                 ],
