@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.llm import exact, lines, near, packing, passages, quality
+from candlewick.llm import exact, lines, near, packing, passages, quality, rollup, subwords, toxicity, warc
+from candlewick.llm.text import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_token_counts(spark, sf_dir):
+    """All documents come in; copies (by their newest doc_id) go; German is counted anew by another version."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = rollup.TokenLedger(spark, f"{scratch(spark)}/ledger")
+    ledger.commit(1, rollup.token_counts(docs, "word_bpe_49k", tokenizer_path("word_bpe_49k.json")))
+    none = [F.lit(None).cast("string").alias(c) for c in rollup.KEYS] + [F.lit(None).cast("long").alias("n_tokens")]
+    gone = exact.exact_duplicates(docs).filter("NOT kept").select("doc_id", *none)
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    german = rollup.token_counts(docs.filter("lang = 'de'"), "byte_bpe_50k", path).join(gone, "doc_id", "left_anti")
+    for _ in range(2):  # the second time is none
+        ledger.commit(2, gone.unionByName(german))
+    return ledger.totals()
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +49,11 @@ def op4_line_dedup(spark, sf_dir):
     return lines.drop_boilerplate(table(spark, sf_dir, "pages"))
 
 
+def op5_warc(spark, sf_dir):
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_near_dedup(spark, sf_dir):
     """Shingles of four words, as the query's contract has it."""
     return near.near_duplicates(table(spark, sf_dir, "documents"), words=4)
@@ -38,6 +63,11 @@ def op7_substring_dedup(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark, sf_dir):
+    model = tokenizer_path("piece_bpe_32k.model")
+    return subwords.digests(subwords.decode(subwords.encode(table(spark, sf_dir, "documents"), model), model))
+
+
 def op9_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -57,6 +87,21 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
 
+# Twenty bits of the hexadecimal digest at a time make four letters.
+_BASE32 = """list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda b:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 5 * i::INT + 1, 5))::BIGINT >> b) % 32)::INT, 1)),
+  'string_agg', '')), 'string_agg', '')"""
+
+_WARC = f"""
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM hashed)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 _LINES = f"""
 WITH rows AS (
   SELECT page_id, nullif(lower(regexp_extract(url, '{lines.HOST}', 1)), '') AS host,
@@ -152,4 +197,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _EXACT, "op4_line_dedup": _LINES, "op9_quality": _QUALITY}
+    return {"op3_exact_dedup": _EXACT, "op4_line_dedup": _LINES, "op5_warc": _WARC, "op9_quality": _QUALITY}

@@ -1,0 +1,57 @@
+import numpy as np
+import pytest
+
+from candlewick.llm import subwords
+from candlewick.llm.queries import tokenizer_path
+
+MODEL = tokenizer_path("piece_bpe_32k.model")
+TEXTS = ["", None, " ", "a", "the of  and   x ", "é中文字😀 \n\t tab", "nospace" * 300, " lead", "x" * 900, "ab " * 400, "▁ odd ▁▁"]
+
+
+@pytest.fixture(scope="module")
+def words():
+    return subwords.Vocabulary(MODEL)
+
+
+def brute(words, text):
+    """One Viterbi over the whole text."""
+    text = subwords.normal(text)
+    best, back = words.forward(text, [0.0])
+    return words.path(text, back, len(text))[0]
+
+
+def test_encoding_is_the_best_of_all_segmentations(words):
+    def every(text):
+        """(score, last piece's length first, ids) of all segmentations."""
+        if not text:
+            yield 0.0, (), []
+        for n in range(1, len(text) + 1):
+            piece = words.pieces.get(text[-n:])
+            if piece or n == 1:
+                single = words.unknown_score if piece is None else piece[1]
+                for score, lengths, ids in every(text[:-n]):
+                    yield score + single, (n, *lengths), ids + words.ids(text[-n:])
+
+    for text in ["", "a", "the of x ", "é中😀", "der und d", " lead"]:
+        normal = subwords.normal(text)
+        best = max(every(normal), key=lambda found: found[:2])[2]
+        assert np.frombuffer(words.encode(normal), "<u4").tolist() == best, text
+
+
+def test_chunks_make_the_same_ids_as_one_pass(spark, words):
+    rows = [(i, text) for i, text in enumerate(TEXTS)] + [(None, "null id " * 40), (3, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = subwords.decode(subwords.encode(docs, MODEL, chunk=64), MODEL).collect()
+    for doc_id, text in rows:
+        own = sorted((r for r in found if r.doc_id == doc_id), key=lambda r: r.chunk)
+        copies = 2 if doc_id == 3 else 1
+        ids = np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist()
+        assert ids == brute(words, text) * copies
+        plain = b"".join(r.decoded for r in own).decode()
+        assert plain == (" " + text.replace("▁", " ") if text else "") * copies
+        assert all(r.decoded == r.text for r in own)
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert subwords.encode(docs, MODEL).collect() == []
