@@ -42,11 +42,11 @@ def _lines_repeated(text: Column) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes of every text."""
+    """doc_id, group, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes of every text."""
     text = F.col("text")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        "group",
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("trimmed", F.btrim("text", F.lit(" \t\n\x0b\f\r")))
     rows = rows.withColumns(
@@ -100,7 +100,7 @@ def measures(docs: DataFrame) -> DataFrame:
     other = F.col("ascii") - F.col("lower") - F.col("upper") - F.col("digits") - white
     return rows.select(
         "doc_id",
-        "lang",
+        "group",
         "words",
         F.col("n_words").cast("long").alias("n_words"),
         F.col("word_chars").cast("long").alias("word_chars"),
@@ -117,68 +117,49 @@ def measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(docs: DataFrame, folder: str, common_share: float = COMMON_SHARE) -> DataFrame:
-    """lang, ref_classes, common (words) and ref_words (their counts and that of all others), of all documents.
+def grouped(docs: DataFrame, large: DataFrame) -> DataFrame:
+    """``docs`` with group: the language if it is large, else an empty string."""
+    known = F.broadcast(large.select(F.col("name").alias("group")))
+    named = docs.join(known, F.col("lang").cast("string") == F.col("group"), "left")
+    return named.withColumn("group", F.coalesce("group", F.lit("")))
 
-    Languages that too few documents have go by the name of an empty string.
-    """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    large = (
-        docs.groupBy(lang.alias("name"))
-        .count()
-        .withColumn("all", F.expr("sum(count) OVER ()"))
-        .filter("1000 * count >= all AND name <> ''")
-        .select("name")
-    )
-    large = store(large, f"{folder}/languages")
-    rows = (
-        docs.select(lang.alias("lang"), text.alias("text"))
-        .join(F.broadcast(large), F.col("lang") == F.col("name"), "left")
-        .select(F.coalesce("name", F.lit("")).alias("lang"), "text")
-    )
-    word = F.explode(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), SPACE)).alias("word")
-    words = rows.select("lang", word).filter("word <> ''")
+
+def large_languages(docs: DataFrame) -> DataFrame:
+    """name of the languages that a thousandth of the documents have or more."""
+    counts = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("name")).count()
+    return counts.withColumn("all", F.expr("sum(count) OVER ()")).filter("1000 * count >= all AND name <> ''").select("name")
+
+
+def common_words(docs: DataFrame, folder: str, common_share: float = COMMON_SHARE) -> DataFrame:
+    """name (of the group), common (words) and ref_words (their counts, then that of all others), of all documents."""
+    text = F.btrim(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    words = docs.select("group", F.explode(F.split(text, SPACE)).alias("word")).filter("word <> ''")
     bucket = F.pmod(F.xxhash64("word"), F.lit(_BUCKETS))
     # First by bucket, of which there are few; then only words of buckets as large as a common word.
-    buckets = store(words.groupBy("lang", bucket.alias("bucket")).count(), f"{folder}/buckets")
-    totals = buckets.groupBy("lang").agg(F.sum("count").alias("total"))
-    heavy = store(
-        buckets.join(totals, "lang").filter(F.col("count") >= common_share * F.col("total")).select("lang", "bucket", "total"),
-        f"{folder}/heavy",
-    )
-    common = (
+    buckets = store(words.groupBy("group", bucket.alias("bucket")).count(), f"{folder}/buckets")
+    totals = buckets.groupBy("group").agg(F.sum("count").alias("total"))
+    heavy = buckets.join(totals, "group").filter(F.col("count") >= common_share * F.col("total"))
+    heavy = store(heavy.select("group", "bucket", "total"), f"{folder}/heavy")
+    listed = (
         words.withColumn("bucket", bucket)
-        .join(F.broadcast(heavy), ["lang", "bucket"])
-        .groupBy("lang", "word")
+        .join(F.broadcast(heavy), ["group", "bucket"])
+        .groupBy("group", "word")
         .agg(F.count("*").alias("n"), F.max("total").alias("total"))
         .filter(F.col("n") >= common_share * F.col("total"))
-        .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("listed"), F.max("total").alias("total"))
-    )
-    white = F.length("text") - F.length(F.regexp_replace("text", SPACE, ""))
-    ascii_ = _without(F.col("text"), "[^\\x00-\\x7F]+")
-    lower, upper, digits = (_without(F.col("text"), f"[^{c}]+") for c in ("a-z", "A-Z", "0-9"))
-    classes = rows.select(
-        "lang", lower.alias("a"), upper.alias("b"), digits.alias("c"), white.alias("d"), ascii_.alias("e"), F.length("text").alias("f")
-    ).groupBy("lang").agg(*[F.sum(c).alias(c) for c in "abcdef"])
-    classes = classes.select(
-        "lang",
-        F.array("a", "b", "c", "d", F.expr("e - a - b - c - d"), F.expr("f - e")).alias("ref_classes"),
+        .groupBy("group")
+        .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("listed"))
     )
+    none = F.array().cast("array<struct<word:string,n:bigint>>")
+    rest = F.expr("total - aggregate(listed, 0L, (a, b) -> a + b.n)")
     return store(
-        classes.join(common, "lang", "left").select(
-            "lang",
-            "ref_classes",
-            F.coalesce(F.col("listed.word"), F.array().cast("array<string>")).alias("common"),
-            F.concat(
-                F.coalesce(F.col("listed.n"), F.array().cast("array<bigint>")),
-                F.array(
-                    F.coalesce("total", F.lit(0)) - F.aggregate(F.coalesce(F.col("listed.n"), F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, b: a + b)
-                ),
-            ).alias("ref_words"),
+        totals.join(listed, "group", "left")
+        .withColumn("listed", F.coalesce("listed", none))
+        .select(
+            F.col("group").alias("name"),
+            F.col("listed.word").alias("common"),
+            F.concat(F.col("listed.n"), F.array(rest)).alias("ref_words"),
         ),
-        f"{folder}/references",
+        f"{folder}/common",
     )
 
 
@@ -211,21 +192,18 @@ def quality(
     counts as one of the rare ones. Every row is judged on its own, repeated rows alike. Columns
     other than doc_id, text and lang are not looked at. No rows give no rows.
     """
-    known = references(docs, scratch(docs.sparkSession), common_share)
-    rows = measures(docs)
-    names = known.select(F.col("lang").alias("name"), "ref_classes", "common", "ref_words")
-    rows = rows.join(F.broadcast(known.select(F.col("lang").alias("known"))), F.col("lang") == F.col("known"), "left")
-    rows = rows.withColumn("group", F.coalesce("known", F.lit(""))).join(
-        F.broadcast(names), F.col("group") == F.col("name"), "left"
-    )
+    folder = scratch(docs.sparkSession)
+    docs = grouped(docs.select("doc_id", "text", "lang"), store(large_languages(docs), f"{folder}/languages"))
+    common = common_words(docs, folder, common_share)
+    rows = measures(docs).join(F.broadcast(common), F.col("group") == F.col("name"), "left")
     rows = rows.withColumn("hits", F.expr("filter(words, word -> array_contains(common, word))"))
-    rows = rows.withColumn(
-        "counts",
-        F.expr(
-            "concat(transform(common, c -> cast(size(filter(hits, h -> h = c)) AS BIGINT)), array(n_words - size(hits)))"
-        ),
-    )
-    rows = rows.withColumns(
+    counts = "transform(common, c -> cast(size(filter(hits, h -> h = c)) AS BIGINT))"
+    rows = rows.withColumn("counts", F.expr(f"concat({counts}, array(n_words - size(hits)))")).drop("words", "hits", "common")
+    # Written down: filters on the verdict must not compute the measures again.
+    rows = store(rows, f"{folder}/measured")
+    sums = F.array(*[F.sum(F.col("classes")[i]) for i in range(6)]).alias("ref_classes")
+    references = store(rows.groupBy(F.col("group").alias("known")).agg(sums), f"{folder}/classes")
+    rows = rows.join(F.broadcast(references), F.col("group") == F.col("known")).withColumns(
         {
             "base_failed": (F.col("n_words") < LEAST_WORDS)
             | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
@@ -236,7 +214,7 @@ def quality(
     odd = ((F.col("n_chars") >= min_chars) & (F.col("class_distance") > max_class_distance)) | (
         (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
     )
-    return rows.select(
+    verdicts = rows.select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -248,3 +226,4 @@ def quality(
         "word_distance",
         (~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))).alias("kept"),
     )
+    return store(verdicts, f"{folder}/verdicts")
