@@ -57,5 +57,6 @@ def run_summary(bars: DataFrame, universe: Iterable[str], run_date: dt.date) ->
 
 
 def preview(bars: DataFrame, rows: int = 20) -> DataFrame:
-    """The first rows by symbol and date: a top-k, without sorting the whole input."""
-    return bars.orderBy("symbol", "date").limit(rows)
+    """The first rows by symbol, date and then all other columns: a top-k, without sorting the whole input."""
+    rest = [c for c in bars.columns if c not in ("symbol", "date")]
+    return bars.orderBy("symbol", "date", *rest).limit(rows)

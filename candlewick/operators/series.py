@@ -43,6 +43,9 @@ def over_series(
     ``split=False`` plans the plain window only; it is for callers that have
     found ``hot_symbols`` empty and want the smaller plan.
     """
+    # Either form below returns zeros without a sign, so a symbol's size changes no value.
+    plain = {c: F.when(F.col(c) == 0, F.lit(0).cast(t)).otherwise(F.col(c)) for c, t in bars.dtypes if t in ("double", "float")}
+    bars = bars.withColumns(plain) if plain else bars
     rest = [c for c in bars.columns if c not in {"symbol", "date", *tie}]
     order = ["date"] if unique else ["date", *tie, *rest]
     window = Window.partitionBy("symbol").orderBy(*order)

@@ -263,8 +263,9 @@ def q_replace_run_date(spark, sf_dir):
 
 
 def q_replace_batch_dates(spark, sf_dir):
+    """The batch corrects the closes of its dates, so that what was replaced shows."""
     stored, _ = split_at_run_date(orders_bars(spark, sf_dir))
-    return replace.replace_batch_dates(stored, last_dates(stored))
+    return replace.replace_batch_dates(stored, last_dates(stored).withColumn("close", F.col("close") + 1))
 
 
 def q_upsert_by_key(spark, sf_dir):
@@ -574,7 +575,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sorted_bars": _with(f"SELECT {BAR_LIST} FROM bars ORDER BY symbol, date"),
         "replace_run_date": _with(replaced, **stored),
-        "replace_batch_dates": _with(f"SELECT {BAR_LIST} FROM stored", **stored),
+        "replace_batch_dates": _with(
+            f"""SELECT CAST(date AS VARCHAR) AS date, symbol, open, high, low,
+                CASE WHEN date IN (SELECT DISTINCT date FROM stored ORDER BY date DESC LIMIT 5)
+                THEN close + 1 ELSE close END AS close, volume FROM stored""",
+            **stored,
+        ),
         "upsert_by_key": _with(
             f"""SELECT {BAR_LIST} FROM stored s WHERE NOT EXISTS
                 (SELECT 1 FROM batch b WHERE b.symbol = s.symbol AND b.date = s.date)

@@ -77,9 +77,11 @@ def run_day(
     extracted = extract(fetched, raw_uri, run_date)
 
     raw = read_raw(spark, raw_uri, run_date)
-    # Usually no symbol is hot; then the plan need not hold the splitting at all.
-    hot = hot_symbols(clean(raw), options.get("hot_rows", HOT_ROWS))
-    options.setdefault("split", not hot.isEmpty())
+    if not use_history:
+        # Usually no symbol is hot; then the plan need not hold the splitting at all.
+        # With stored rows, only those and the batch together tell.
+        hot = hot_symbols(clean(raw), options.get("hot_rows", HOT_ROWS))
+        options.setdefault("split", not hot.isEmpty())
     transformed = Observation()
     if use_history:
         context_uri = f"{lake_uri}/history/run_date={run_date:%Y-%m-%d}"

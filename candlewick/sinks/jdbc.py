@@ -8,6 +8,7 @@ the new ones. No row passes through the driver.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import os
 from collections.abc import Mapping
 
@@ -101,7 +102,8 @@ def replace_statements(
     else:
         where = (
             f"EXISTS (SELECT 1 FROM {staging} s"
-            f" WHERE s.{symbol} = {table}.{symbol} AND s.{date} = {table}.{date})"
+            f" WHERE (s.{symbol} = {table}.{symbol} OR s.{symbol} IS NULL AND {table}.{symbol} IS NULL)"
+            f" AND (s.{date} = {table}.{date} OR s.{date} IS NULL AND {table}.{date} IS NULL))"
         )
     columns = ", ".join(f"{mark}{name}{mark}" for name in FEATURE_COLUMNS)
     return [
@@ -120,8 +122,9 @@ def load_table(
 ) -> None:
     """Load ``batch`` into a database table with one of the three modes."""
     spark = batch.sparkSession
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"  # its own, whatever else is being loaded
     statements = replace_statements(options["url"], table, staging, mode, run_date)
+    statements.append((f"DROP TABLE {staging}", []))
     _stage(batch, options, staging, attempts)
     _in_one_transaction(spark, options, statements)
 
@@ -136,7 +139,8 @@ def _stage(batch: DataFrame, options: Mapping[str, str], staging: str, attempts:
         seen = Observation()
         counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
         append_rows(counted, options, staging, mode="overwrite")
-        if read_table(batch.sparkSession, options, staging).count() == seen.get["rows"]:
+        count = {**options, "query": f"SELECT COUNT(*) AS n FROM {staging}"}
+        if batch.sparkSession.read.format("jdbc").options(**count).load().first()[0] == seen.get["rows"]:
             return
     raise RuntimeError(f"{staging} did not receive each row once in {attempts} attempts")
 

@@ -52,8 +52,7 @@ class Warehouse:
 
     def read(self, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
         """Rows from ``first`` to ``last``, inclusive; folders outside are pruned."""
-        schema = T.StructType([*FEATURE_SCHEMA.fields, T.StructField(self.period, T.DateType())])
-        rows = self.spark.read.schema(schema).parquet(self.uri)
+        rows = self._stored()
         if first is not None:
             in_folder = F.col(self.period) >= F.lit(self._first_day(first))
             rows = rows.filter(in_folder & (F.col("date") >= F.lit(first)))
@@ -62,6 +61,11 @@ class Warehouse:
             rows = rows.filter(in_folder & (F.col("date") <= F.lit(last)))
         return rows.select(FEATURE_COLUMNS)
 
+    def _stored(self) -> DataFrame:
+        """All rows, with the folder they lie in."""
+        schema = T.StructType([*FEATURE_SCHEMA.fields, T.StructField(self.period, T.DateType())])
+        return self.spark.read.schema(schema).parquet(self.uri)
+
     def load(
         self,
         batch: DataFrame,
@@ -102,21 +106,18 @@ class Warehouse:
             self._write(upsert_by_key(touched, batch), "overwrite")
 
     def _touched(self, batch: DataFrame, run_date: dt.date | None) -> DataFrame:
-        """Stored rows of the periods that hold a date of the batch, or the run date."""
-        first, last = batch.agg(F.min("date"), F.max("date")).first()
-        days = [day for day in (first, last, run_date) if day is not None]
-        if not days:
-            return self.read().limit(0)
-        rows = self.read(self._first_day(min(days)), self._last_day(max(days)))
-        periods = batch.select(self._start(F.col("date")).alias("_period")).distinct()
-        same = self._start(F.col("date")) == F.col("_period")
-        touched = rows.join(periods, same, "left_semi")
-        if run_date is None:
-            return touched
-        of_run_date = rows.filter(self._start(F.col("date")) == F.lit(self._first_day(run_date)))
-        return of_run_date.unionByName(
-            touched.filter(self._start(F.col("date")) != F.lit(self._first_day(run_date)))
-        )
+        """Stored rows of the folders that hold a date of the batch, or the run date; rows without date are one folder.
+
+        The folders' names go into the filter, so that only those are read. There
+        are no more of them than the calendar has days.
+        """
+        found = batch.select(self._start(F.col("date"))).distinct().collect()
+        periods = {row[0] for row in found} | ({self._first_day(run_date)} if run_date else set())
+        folder = F.col(self.period)
+        wanted = folder.isin([period for period in periods if period is not None])
+        if None in periods:
+            wanted = wanted | folder.isNull()
+        return self._stored().filter(wanted).select(FEATURE_COLUMNS)
 
     def _write(self, rows: DataFrame, how: str) -> None:
         """Rows by date and symbol; an overwrite replaces only the periods present in ``rows``.

@@ -24,12 +24,14 @@ def read_vendor(
 
     Asking for ``symbols`` prunes the folders; a symbol without a folder or
     without rows adds nothing (see ``missing_symbols`` for the report).
-    Malformed fields become null and fall to ``validate``.
+    Malformed fields become null and fall to ``validate``. A file that vanishes
+    while it is read fails the read.
     """
-    reader = spark.read.format(fmt).option("ignoreMissingFiles", True)
-    if fmt == "csv":
-        # Columns are found by header name, and each file's header is checked.
-        reader = reader.option("header", True)
+    reader = spark.read.format(fmt)
+    if fmt in ("csv", "parquet"):
+        # Columns are found by name, and each CSV file's header is checked; the
+        # folder's name is text, whatever it looks like.
+        reader = reader.option("header", True) if fmt == "csv" else reader
         folder = T.StructField("symbol", T.StringType())
         names = [f for f in reader.load(uri).schema.fields if f.name != "symbol"]
         reader = reader.option("enforceSchema", False).schema(T.StructType([*names, folder]))

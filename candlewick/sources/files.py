@@ -32,11 +32,17 @@ def read_raw(
     frame = reader.csv(uri)
     if run_date is not None:
         frame = frame.filter(F.col("run_date") == F.lit(run_date))
+    return normalize_raw(frame)
+
+
+def normalize_raw(frame: DataFrame, *more: str) -> DataFrame:
+    """Landed columns with their types, and ``more`` as they are; what has no value of its type is null, NaN too."""
     return frame.select(
-        F.col("date").cast("date").alias("date"),
+        F.col("date").try_cast("date").alias("date"),
         F.col("symbol").cast("string").alias("symbol"),
         *[number_or_null(F.col(name)).alias(name) for name in ("open", "high", "low", "close")],
         whole_volume(F.col("volume")).alias("volume"),
+        *more,
     )
 
 

@@ -11,8 +11,7 @@ from candlewick.operators.quality import clean, dedupe
 from candlewick.plans.daily import with_stored_history
 from candlewick.schema import RAW_CSV_SCHEMA
 from candlewick.sinks.warehouse import Warehouse
-from candlewick.sources.bars import whole_volume
-from candlewick.sources.files import read_processed
+from candlewick.sources.files import normalize_raw, read_processed
 
 LANDED_SCHEMA = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("run_date", T.DateType())])
 
@@ -20,17 +19,20 @@ LANDED_SCHEMA = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("run_date",
 def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> StreamingQuery:
     """Load every raw file not seen yet, then stop.
 
-    A micro-batch may be delivered twice after a failure; its upsert gives the
+    Of deliveries of a key the one with the newest run date stays, in whatever
+    order they land. A micro-batch may be delivered twice after a failure; its upsert gives the
     same table each time. Row frames are not allowed on a stream, so features
     are computed per micro-batch, together with the stored rows.
     """
     spark = warehouse.spark
     landed = spark.readStream.schema(LANDED_SCHEMA).option("header", True).csv(raw_uri)
-    bars = clean(landed.withColumn("volume", whole_volume(F.col("volume"))))
+    bars = clean(normalize_raw(landed, "run_date"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        latest = dedupe(batch, "run_date").drop("run_date")
-        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}", unique=True)
+        newest = _not_older(dedupe(batch, "run_date"), f"{state_uri}/delivered", batch_id)
+        latest = newest.drop("run_date")
+        # Stored rows may hold a key many times, so keys aren't promised to be unique.
+        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}")
         # Written once, because the load reads the batch several times.
         folder = f"{state_uri}/batches/{batch_id}"
         rows.write.mode("overwrite").parquet(folder)
@@ -42,3 +44,23 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _not_older(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Rows of ``batch`` but those whose key an earlier micro-batch delivered with a newer run date.
+
+    Each micro-batch notes its keys and run dates in a folder of its own, which a repeat replaces.
+    """
+    spark = batch.sparkSession
+    own = f"{folder}/batch={batch_id}"
+    keys = ["symbol", "date", "run_date"]
+    batch.select(keys).write.mode("overwrite").parquet(own)
+    known = spark.read.parquet(folder).filter(F.col("batch") < batch_id)
+    newest = known.groupBy("symbol", "date").agg(F.max("run_date").alias("_newest"))
+    newest = newest.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"), "_newest")
+    newer = (
+        F.col("symbol").eqNullSafe(F.col("_symbol"))
+        & F.col("date").eqNullSafe(F.col("_date"))
+        & (F.col("_newest") > F.col("run_date"))
+    )
+    return batch.join(newest, newer, "left_anti")

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from helpers import bars, day, rows, series
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from candlewick.operators.replace import (
     replace_run_date,
     upsert_by_key,
 )
-from candlewick.schema import FEATURE_COLUMNS
+from candlewick.schema import FEATURE_COLUMNS, FEATURE_SCHEMA
 from candlewick.sinks.warehouse import PERIODS, Warehouse, warehouse_rows
 
 LAST = day(5)
@@ -140,3 +142,29 @@ def test_warehouse_types(stored):
     assert [t for _, t in out.dtypes] == ["string", "string", *["double"] * 4, "bigint", "double", "double", "string"]
     assert out.filter("price_change_pct is not null").isEmpty()
     assert out.agg(F.max("date")).first()[0] == LAST.isoformat()
+
+
+@pytest.mark.parametrize("mode", ["replace_run_date", "replace_batch_dates", "upsert_by_key"])
+def test_rows_without_date_or_symbol_and_untouched_folders(spark, tmp_path, mode):
+    """Whatever is null, the table holds what the operator returns; other folders aren't read."""
+    from candlewick.operators import replace
+
+    def featured(rows):
+        frame = spark.createDataFrame(rows, "date date, symbol string, close double")
+        others = [(f.name, f.dataType) for f in FEATURE_SCHEMA.fields if f.name not in frame.columns]
+        frame = frame.select("*", *[F.lit(None).cast(t).alias(n) for n, t in others])
+        return frame.select([f.name for f in FEATURE_SCHEMA.fields])
+
+    days = [dt.date(2023, month, 5) for month in range(1, 13)]
+    stored = featured([(None, "A", 1.0), (None, None, 2.0), *[(d, s, 3.0) for d in days for s in ("A", None)]])
+    batch = featured([(None, "B", 4.0), (days[0], None, 5.0), (days[0], "A", 5.0), (days[11], "A", 6.0)])
+    warehouse = Warehouse(spark, f"{tmp_path}/table")
+    warehouse.load(stored, "upsert_by_key")
+    touched = warehouse._touched(batch, None)
+    assert touched.select(F.input_file_name().alias("file")).distinct().count() == 3
+    run_date = days[0]
+    operator = getattr(replace, mode)
+    expected = operator(stored, batch, run_date) if mode == "replace_run_date" else operator(stored, batch)
+    warehouse.load(batch, mode, run_date, allow_partial=True)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, warehouse.read().collect()), key=key) == sorted(map(tuple, expected.collect()), key=key)
