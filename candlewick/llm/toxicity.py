@@ -21,8 +21,10 @@ FEATURES = 1 << 20
 SAMPLE = 10_000
 #: A word is a feature if this many documents of the sample have it, toxic ones so much likelier than others.
 LEAST_DOCUMENTS, LEAST_LOG_ODDS = 5, 1.5
+#: The log odds must also be this many standard deviations above zero.
+DEVIATIONS = 2.5
 #: A text is called toxic if a grade above 0 is likelier than this.
-CUT = 0.25
+CUT = 0.4
 _EDGES = np.frombuffer(b".,;:!?\"'()[]{}*#$%&|<>-", np.uint8).tobytes()
 
 
@@ -42,7 +44,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 2e-5, steps
     seen_toxic = np.bincount(index, weights=toxic[owner], minlength=FEATURES)
     n_toxic = max(1, int(toxic.sum()))
     odds = np.log((seen_toxic + 0.5) / n_toxic) - np.log((seen - seen_toxic + 0.5) / max(1, len(rows) - n_toxic))
-    chosen = (seen >= LEAST_DOCUMENTS) & (odds >= LEAST_LOG_ODDS)
+    chance = np.sqrt(1 / (seen_toxic + 0.5) + 1 / (seen - seen_toxic + 0.5))
+    # Long texts hold many words, so words that look toxic by chance must not count.
+    chosen = (seen >= LEAST_DOCUMENTS) & (odds >= np.maximum(LEAST_LOG_ODDS, DEVIATIONS * chance))
     used = chosen[index]
     owner, index = owner[used], (np.cumsum(chosen) - 1)[index[used]]
     weights = np.zeros(int(chosen.sum()))
