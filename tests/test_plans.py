@@ -7,6 +7,7 @@ from helpers import series
 
 from candlewick.operators.features import add_features
 from candlewick.operators.series import hot_symbols
+from candlewick.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,7 +55,7 @@ def test_without_hot_symbols_only_the_plain_window_runs(spark):
 
 
 def test_no_python_and_no_cross_join(spark):
-    for name, query in entry_point.queries().items():
+    for name, query in catalog.queries().items():
         if name in WRITING:
             continue
         text = plan(query(spark, SF_DIR))
