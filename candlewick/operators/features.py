@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.columns import percent_change, rounded, volume_category
 from candlewick.operators.quality import clean
-from candlewick.operators.series import over_series
+from candlewick.operators.series import Expressions, over_series
 from candlewick.schema import (
     AVERAGE_ROWS,
     BAR_COLUMNS,
@@ -58,10 +58,11 @@ def add_features(
     rows: int = AVERAGE_ROWS,
     high: int = HIGH_VOLUME,
     medium: int = MEDIUM_VOLUME,
+    more: Expressions | None = None,
     **series,
 ) -> DataFrame:
-    """The three features from one pass over the series."""
-    windows = {"_prev_close": _previous_close, "_mean": _mean_close(rows)}
+    """The three features, and ``more`` window expressions, from one pass over the series."""
+    windows = {"_prev_close": _previous_close, "_mean": _mean_close(rows), **(more or {})}
     return (
         over_series(bars, windows, reach=max(rows - 1, 1), **series)
         .withColumns({"price_change_pct": _change_column(), "moving_avg_7d": rounded(F.col("_mean"))})
@@ -104,62 +105,75 @@ def history_features(
     batch: DataFrame,
     stored: DataFrame,
     rows: int = AVERAGE_ROWS,
-    older: DataFrame | None = None,
+    refresh: bool = False,
     **options,
 ) -> DataFrame:
-    """Features of a clean ``batch`` as if computed over the stored rows and the batch together."""
-    context = history_context(batch, stored, rows, older)
-    return features_in_context(batch, context, rows=rows, **options)
+    """Features of a clean ``batch`` as if computed over the stored rows and the batch together.
+
+    ``refresh`` adds the stored rows that the batch changes: those up to
+    ``rows - 1`` rows after a row of the batch, with all copies of their keys.
+    """
+    context = history_context(batch, stored, rows, refresh)
+    return features_in_context(batch, context, rows, refresh, **options)
 
 
-def features_in_context(batch: DataFrame, context: DataFrame, **options) -> DataFrame:
-    """Features of the batch's rows, with ``context`` rows in their series."""
+def features_in_context(
+    batch: DataFrame, context: DataFrame, rows: int = AVERAGE_ROWS, refresh: bool = False, **options
+) -> DataFrame:
+    """Features of the batch's rows, with ``context`` rows in their series; ``refresh`` as above."""
     merged = batch.withColumn("_new", F.lit(True)).unionByName(
         context.withColumn("_new", F.lit(False)), allowMissingColumns=True
     )
-    return add_features(merged, **options).filter("_new").drop("_new")
+    if not refresh:
+        return add_features(merged, rows, **options).filter("_new").drop("_new")
+    reach = max(rows - 1, 1)
+    seen = {"_seen": lambda window: F.max("_new").over(window.rowsBetween(-reach, 0))}
+    featured = add_features(merged, rows, more=seen, **options)
+    # An upsert replaces whole keys, so a key goes with all its copies.
+    keys = featured.filter("_seen").select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date")).distinct()
+    same_key = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("date") == F.col("_date"))
+    return featured.drop("_new", "_seen").join(keys, same_key, "left_semi")
+
+
+def batch_span(batch: DataFrame) -> DataFrame:
+    """The first and last date of each symbol: _of, _first and _last."""
+    return batch.groupBy(F.col("symbol").alias("_of")).agg(
+        F.min("date").alias("_first"), F.max("date").alias("_last")
+    )
 
 
 def history_context(
-    batch: DataFrame,
-    stored: DataFrame,
-    rows: int = AVERAGE_ROWS,
-    older: DataFrame | None = None,
+    batch: DataFrame, stored: DataFrame, rows: int = AVERAGE_ROWS, refresh: bool = False
 ) -> DataFrame:
     """The stored rows that bear on the batch's features.
 
     These are its symbols' rows between its first and last date, without the
-    keys it replaces, and the last ``rows - 1`` before.
-
-    ``older`` lets a daily run leave most of the table unread: with it,
-    ``stored`` starts at some date before the batch and ``older`` holds all
-    rows before that date. It is read only for symbols with too few rows in
-    ``stored``, and not at all when there is no such symbol.
+    keys it replaces, and the last ``rows - 1`` before; for ``refresh`` also
+    the next ``rows - 1`` after, with all rows of the last date among them.
     """
     reach = max(rows - 1, 1)
-    span = batch.groupBy(F.col("symbol").alias("_of")).agg(
-        F.min("date").alias("_first"), F.max("date").alias("_last")
-    )
-    of_symbol = F.col("symbol").eqNullSafe(F.col("_of"))
-    known = stored.select(BAR_COLUMNS).join(span, of_symbol & (F.col("date") <= F.col("_last")))
+    span = batch_span(batch)
+    known = stored.select(BAR_COLUMNS).join(span, F.col("symbol").eqNullSafe(F.col("_of")))
     replaced = batch.select(*[F.col(k).alias(f"_batch_{k}") for k in KEYS]).distinct()
     same_key = F.col("symbol").eqNullSafe(F.col("_batch_symbol")) & (
         F.col("date") == F.col("_batch_date")
     )
-    inside = known.filter(F.col("date") >= F.col("_first")).join(replaced, same_key, "left_anti")
-    before = _last_rows(known.filter(F.col("date") < F.col("_first")), reach)
-    context = inside.select(BAR_COLUMNS).unionByName(before)
-
-    if older is not None:
-        found = before.groupBy(F.col("symbol").alias("_found")).agg(F.count(F.lit(1)).alias("_n"))
-        short = span.join(found, F.col("_of").eqNullSafe(F.col("_found")), "left").filter(
-            F.coalesce("_n", F.lit(0)) < reach
-        )
-        earlier = older.select(BAR_COLUMNS).join(
-            short.select("_of", "_first"), of_symbol & (F.col("date") < F.col("_first"))
-        )
-        context = context.unionByName(_last_rows(earlier, reach))
-    return context
+    inside = known.filter(F.col("date").between(F.col("_first"), F.col("_last")))
+    context = inside.join(replaced, same_key, "left_anti").select(BAR_COLUMNS)
+    context = context.unionByName(rows_before(known, reach))
+    return context.unionByName(rows_after(known, reach)) if refresh else context
+
+
+def rows_before(known: DataFrame, count: int) -> DataFrame:
+    """The last ``count`` rows of each symbol before ``_first``."""
+    return _last_rows(known.filter(F.col("date") < F.col("_first")), count)
+
+
+def rows_after(known: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` rows of each symbol after ``_last``, and others of the same dates."""
+    earliest = Window.partitionBy("symbol").orderBy("date")
+    ranked = known.filter(F.col("date") > F.col("_last")).withColumn("_rank", F.rank().over(earliest))
+    return ranked.filter(F.col("_rank") <= count).select(BAR_COLUMNS)
 
 
 def _last_rows(bars: DataFrame, count: int) -> DataFrame:

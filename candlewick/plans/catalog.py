@@ -372,6 +372,18 @@ def q_incremental_run(spark, sf_dir):
     return warehouse.read()
 
 
+def q_late_bars(spark, sf_dir):
+    """The middle days of every month land after all others, in several files of one landing."""
+    folder = scratch_folder(spark)
+    bars = orders_bars(spark, sf_dir)
+    late = F.dayofmonth("date").between(11, 13)
+    warehouse = Warehouse(spark, f"{folder}/table", period="year")
+    for run_date, landed in ((RUN_DATE, bars.filter(~late)), (RUN_DATE + dt.timedelta(days=1), bars.filter(late))):
+        write_raw(landed, f"{folder}/raw", run_date)
+        load_new_files(warehouse, f"{folder}/raw", f"{folder}/state").awaitTermination()
+    return warehouse.read()
+
+
 def queries() -> dict[str, Query]:
     found = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
     return {name: _with_text_dates(query) for name, query in found.items()}
@@ -614,6 +626,7 @@ def oracle_sql() -> dict[str, str]:
             **runs,
         ),
         "incremental_run": _with(f"SELECT {FEATURE_LIST} FROM everything", everything=_features("bars")),
+        "late_bars": _with(f"SELECT {FEATURE_LIST} FROM everything", everything=_features("bars")),
     }
 
 

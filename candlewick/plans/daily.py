@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.features import (
     add_features,
+    batch_span,
     features,
     features_in_context,
     history_context,
     lookback,
+    rows_after,
+    rows_before,
 )
 from candlewick.operators.quality import (
     clean,
@@ -29,7 +32,7 @@ from candlewick.operators.quality import (
 )
 from candlewick.operators.report import run_summary, symbol_summary
 from candlewick.operators.series import HOT_ROWS, hot_symbols
-from candlewick.schema import AVERAGE_ROWS, BAR_SCHEMA, LOOKBACK_SESSIONS, UNIVERSE
+from candlewick.schema import AVERAGE_ROWS, BAR_COLUMNS, LOOKBACK_SESSIONS, UNIVERSE
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse
 from candlewick.sources.bars import read_vendor
@@ -65,7 +68,8 @@ def run_day(
     """Run all steps for ``run_date``.
 
     ``use_history`` computes the features together with the stored rows, so the
-    average can fill its frame; otherwise the batch stands alone.
+    average can fill its frame; otherwise the batch stands alone. An upsert then
+    also brings the stored rows that follow late or corrected ones up to date.
     """
     spark = warehouse.spark
     raw_uri, processed_uri = f"{lake_uri}/raw-data", f"{lake_uri}/processed-data"
@@ -85,7 +89,8 @@ def run_day(
     transformed = Observation()
     if use_history:
         context_uri = f"{lake_uri}/history/run_date={run_date:%Y-%m-%d}"
-        rows = with_stored_history(clean(raw), warehouse, context_uri, **options)
+        refresh = mode == "upsert_by_key"
+        rows = with_stored_history(clean(raw), warehouse, context_uri, refresh=refresh, **options)
     else:
         rows = features(raw, **options)
     rows = rows.observe(transformed, F.count(F.lit(1)).alias("rows"))
@@ -108,23 +113,76 @@ def with_stored_history(
     context_uri: str,
     recent: dt.timedelta = RECENT,
     rows: int = AVERAGE_ROWS,
+    refresh: bool = False,
     **options,
 ) -> DataFrame:
     """Features of ``batch`` together with the stored rows before and between its rows.
 
-    The table is read from ``recent`` before the batch to its last date, and
-    further back only for symbols with too few rows in that time. The few rows
-    found are written to ``context_uri``, so that no later step reads the table.
+    ``refresh`` adds the stored rows whose features the batch changes, for an upsert.
+    The table is read from ``recent`` before the batch to its last date (for
+    ``refresh``, ``recent`` after that), and further away only for symbols with
+    too few rows there. The few rows found are written to ``context_uri``, so
+    that no later step reads the table.
     """
     first, last = batch.agg(F.min("date"), F.max("date")).first()
     if first is None or not warehouse.exists():
         return add_features(batch, rows=rows, **options)
-    since = first - recent
-    older = warehouse.read(last=since - dt.timedelta(days=1))
-    context = history_context(batch, warehouse.read(since, last), rows, older)
-    context.write.mode("overwrite").parquet(context_uri)
-    written = batch.sparkSession.read.schema(BAR_SCHEMA).parquet(context_uri)
-    return features_in_context(batch, written, rows=rows, **options)
+    reach = max(rows - 1, 1)
+    since, until = first - recent, last + recent if refresh else last
+    near = history_context(batch, warehouse.read(since, until), rows, refresh)
+    context = _written(near, f"{context_uri}/near")
+    span = _written(batch_span(batch), f"{context_uri}/span")
+    further = [_further_rows(span, context, warehouse, since, recent, reach, False, f"{context_uri}/before")]
+    if refresh:
+        further.append(_further_rows(span, context, warehouse, until, recent, reach, True, f"{context_uri}/after"))
+    for found in further:
+        context = context.unionByName(found) if found is not None else context
+    return features_in_context(batch, context, rows, refresh, **options)
+
+
+def _further_rows(
+    span: DataFrame,
+    context: DataFrame,
+    warehouse: Warehouse,
+    edge: dt.date,
+    width: dt.timedelta,
+    reach: int,
+    after: bool,
+    folder: str,
+) -> DataFrame | None:
+    """Rows beyond ``edge`` for symbols with fewer than ``reach`` rows on that side of the batch.
+
+    The symbols are written first: if there are none, nothing is read. Otherwise
+    the table is read in stretches, each four times as long as the one before, until
+    every symbol has enough rows or the table ends.
+    """
+    ends = warehouse.ends()
+    take = rows_after if after else rows_before
+    of_symbol = F.col("symbol").eqNullSafe(F.col("_of"))
+    day = dt.timedelta(days=1)
+    found, step, width = None, 0, max(width, day)
+    while ends is not None and (edge < ends[1] if after else edge > ends[0]):
+        known = context if found is None else context.unionByName(found)
+        enough = take(known.join(span, of_symbol), reach).groupBy(F.col("symbol").alias("_found"))
+        enough = enough.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= reach)
+        short = span.join(enough, F.col("_of").eqNullSafe(F.col("_found")), "left_anti")
+        short = _written(short, f"{folder}/short{step}")
+        if short.isEmpty():
+            break
+        if after:
+            stretch, edge = (edge + day, min(edge + width, ends[1])), min(edge + width, ends[1])
+        else:
+            stretch, edge = (max(edge - width, ends[0]), edge - day), max(edge - width, ends[0])
+        rows = warehouse.read(*stretch).select(BAR_COLUMNS).join(short, of_symbol)
+        rows = _written(take(rows, reach), f"{folder}/rows{step}")
+        found = rows if found is None else found.unionByName(rows)
+        width, step = min(4 * width, dt.timedelta(days=36_525)), step + 1
+    return found
+
+
+def _written(rows: DataFrame, uri: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(uri)
+    return rows.sparkSession.read.schema(rows.schema).parquet(uri)
 
 
 def extract(fetched: DataFrame, raw_uri: str, run_date: dt.date) -> dict[str, int]:

@@ -61,6 +61,11 @@ class Warehouse:
             rows = rows.filter(in_folder & (F.col("date") <= F.lit(last)))
         return rows.select(FEATURE_COLUMNS)
 
+    def ends(self) -> tuple[dt.date, dt.date] | None:
+        """The first and last day of the folders with dates; reads no column of the rows."""
+        first, last = self._stored().agg(F.min(self.period), F.max(self.period)).first()
+        return None if first is None else (first, self._last_day(last))
+
     def _stored(self) -> DataFrame:
         """All rows, with the folder they lie in."""
         schema = T.StructType([*FEATURE_SCHEMA.fields, T.StructField(self.period, T.DateType())])

@@ -22,7 +22,8 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
     Of deliveries of a key the one with the newest run date stays, in whatever
     order they land. A micro-batch may be delivered twice after a failure; its upsert gives the
     same table each time. Row frames are not allowed on a stream, so features
-    are computed per micro-batch, together with the stored rows.
+    are computed per micro-batch, together with the stored rows; stored rows
+    that follow late or corrected ones are brought up to date.
     """
     spark = warehouse.spark
     landed = spark.readStream.schema(LANDED_SCHEMA).option("header", True).csv(raw_uri)
@@ -32,7 +33,7 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
         newest = _not_older(dedupe(batch, "run_date"), f"{state_uri}/delivered", batch_id)
         latest = newest.drop("run_date")
         # Stored rows may hold a key many times, so keys aren't promised to be unique.
-        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}")
+        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}", refresh=True)
         # Written once, because the load reads the batch several times.
         folder = f"{state_uri}/batches/{batch_id}"
         rows.write.mode("overwrite").parquet(folder)
