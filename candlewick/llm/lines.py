@@ -42,6 +42,8 @@ def boilerplate(rows: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_
         .filter(frequent)
         .select("host", "hash", "total")
     )
+    # Written first, so that its size is known when the join is planned: if it is small, no line is shuffled.
+    candidates = store(candidates, f"{scratch(rows.sparkSession)}/candidates")
     return (
         rows.select("host", F.explode(F.array_distinct("lines")).alias("line"))
         .withColumn("hash", F.xxhash64("line"))
@@ -61,13 +63,15 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     lines; a text of which nothing remains is empty. A line counts once a page; repeated rows are
     pages of their own. Other columns are not looked at. No rows give no rows.
     """
+    folder = scratch(pages.sparkSession)
     rows = store(
         pages.select(
             F.col("page_id"), url_host(F.col("url")).alias("host"), html_lines(F.col("html")).alias("lines")
         ),
-        f"{scratch(pages.sparkSession)}/lines",
+        f"{folder}/lines",
     )
     sites = boilerplate(rows, ratio, least_pages).groupBy("host").agg(F.collect_set("line").alias("boilerplate"))
+    sites = store(sites, f"{folder}/sites")
     none = F.array().cast("array<string>")
     kept = F.expr("filter(lines, line -> NOT array_contains(boilerplate, line))")
     return (
