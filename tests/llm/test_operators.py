@@ -118,6 +118,24 @@ def test_passages(spark, odd, none):
     assert passages.repeated_passages(none).collect() == []
 
 
+def test_passages_of_which_most_is_common(spark):
+    """45 words that 60 documents share, each followed by 10 words of a pair; and a run between two hubs."""
+    common, rows = prose(500, 45), []
+    for i in range(30):
+        rows.append((i, f"{prose(600 + i, 30)} {common} {prose(700 + i, 60)}"))
+    for pair in range(15):
+        tail = prose(800 + pair, 10)
+        rows += [(100 + 2 * pair + i, f"{prose(900 + 2 * pair + i, 40)} {common} {tail} {prose(1000 + 2 * pair + i, 40)}") for i in (0, 1)]
+    x, y, z = prose(1100, 30), prose(1101, 30), prose(1102, 30)
+    rows += [(200, f"{x} {y}"), (201, f"{x} {y} {z}"), (202, f"{prose(1103, 20)} {y} {z}")]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    exact = {(r.doc_id, r.of_doc_id): text[r.doc_id].encode()[r.start : r.end].decode() for r in found}
+    wanted = {(101 + 2 * p, 100 + 2 * p): f"{common} {prose(800 + p, 10)}" for p in range(15)}
+    wanted |= {(201, 200): f"{x} {y}", (202, 201): f"{y} {z}"}
+    assert exact == wanted
+
+
 def test_packing(spark, odd, none):
     pieces = packing.pieces(odd, WORD)
     packed = packing.pack(pieces).collect()
