@@ -1,9 +1,9 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document's histograms of character classes and of its language's common words are compared with
-those of the whole language by Jensen-Shannon distance. Languages with less than a thousandth of
-the documents share one reference, so there are at most 1,001 of at most 1 / ``common_share``
-common words each, which bounds what is broadcast.
+those of the whole language by Jensen-Shannon distance. Every language that has a thousandth of
+the documents or ``LEAST_DOCS`` of them has a reference, of at most 1 / ``common_share`` common
+words. References are joined without a forced broadcast, so there may be any number of them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ MIN_CHARS, MIN_WORDS = 300, 50
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.42
 #: Base rule: too few words, or too large a percentage of them in repeated windows.
 LEAST_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
+#: A language below a thousandth of the documents needs this many to be judged by.
+LEAST_DOCS = 100
 _BUCKETS = 1 << 16
 
 
@@ -41,12 +43,13 @@ def _lines_repeated(text: Column) -> Column:
     return F.size(lines) - F.size(F.array_distinct(lines))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, group, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes of every text."""
+def measures(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, group, ``also``, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes of every text."""
     text = F.col("text")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "group",
+        *also,
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("trimmed", F.btrim("text", F.lit(" \t\n\x0b\f\r")))
     rows = rows.withColumns(
@@ -101,6 +104,7 @@ def measures(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         "group",
+        *also,
         "words",
         F.col("n_words").cast("long").alias("n_words"),
         F.col("word_chars").cast("long").alias("word_chars"),
@@ -118,22 +122,23 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, large: DataFrame) -> DataFrame:
-    """``docs`` with group: the language if it is large, else an empty string."""
-    known = F.broadcast(large.select(F.col("name").alias("group")))
-    named = docs.join(known, F.col("lang").cast("string") == F.col("group"), "left")
-    return named.withColumn("group", F.coalesce("group", F.lit("")))
+    """``docs`` with group: the language if it is large enough to judge by, else null."""
+    known = large.select(F.col("name").alias("group"))
+    return docs.join(known, F.col("lang").cast("string") == F.col("group"), "left")
 
 
 def large_languages(docs: DataFrame) -> DataFrame:
-    """name of the languages that a thousandth of the documents have or more."""
+    """name of the languages that a thousandth or ``LEAST_DOCS`` of the documents have or more."""
     counts = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("name")).count()
-    return counts.withColumn("all", F.expr("sum(count) OVER ()")).filter("1000 * count >= all AND name <> ''").select("name")
+    all_docs = counts.agg(F.sum("count").alias("all"))
+    judged = counts.crossJoin(F.broadcast(all_docs)).filter(f"(1000 * count >= all OR count >= {LEAST_DOCS}) AND name <> ''")
+    return judged.select("name")
 
 
 def common_words(docs: DataFrame, folder: str, common_share: float = COMMON_SHARE) -> DataFrame:
-    """name (of the group), common (words) and ref_words (their counts, then that of all others), of all documents."""
+    """name (of the group), common (words) and ref_words (their counts, then that of all others), of documents with a group."""
     text = F.btrim(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    words = docs.select("group", F.explode(F.split(text, SPACE)).alias("word")).filter("word <> ''")
+    words = docs.filter(F.col("group").isNotNull()).select("group", F.explode(F.split(text, SPACE)).alias("word")).filter("word <> ''")
     bucket = F.pmod(F.xxhash64("word"), F.lit(_BUCKETS))
     # First by bucket, of which there are few; then only words of buckets as large as a common word.
     buckets = store(words.groupBy("group", bucket.alias("bucket")).count(), f"{folder}/buckets")
@@ -142,7 +147,7 @@ def common_words(docs: DataFrame, folder: str, common_share: float = COMMON_SHAR
     heavy = store(heavy.select("group", "bucket", "total"), f"{folder}/heavy")
     listed = (
         words.withColumn("bucket", bucket)
-        .join(F.broadcast(heavy), ["group", "bucket"])
+        .join(heavy, ["group", "bucket"])
         .groupBy("group", "word")
         .agg(F.count("*").alias("n"), F.max("total").alias("total"))
         .filter(F.col("n") >= common_share * F.col("total"))
@@ -182,28 +187,32 @@ def quality(
     min_words: int = MIN_WORDS,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
     """The measures of every row of ``docs`` with base_failed, class_distance, word_distance and kept.
 
     Words are what white space separates. The base rule fails documents with fewer than 20 words or
     with over 30 % of their words in 8-word windows that the text repeats. Other documents are
     rejected if they are long enough to be judged and a distance exceeds its limit. Null and
-    blank texts have no words, fail the base rule, and their distances are null. A null language
-    counts as one of the rare ones. Every row is judged on its own, repeated rows alike. Columns
-    other than doc_id, text and lang are not looked at. No rows give no rows.
+    blank texts have no words, fail the base rule, and their distances are null. So are those of rows
+    without a language (null or empty) or whose language has too few documents to judge by: the base
+    rule alone decides on them. Every row is judged on its own, repeated rows alike. Columns other
+    than doc_id, text and lang are not looked at; those named by ``also`` are passed through. No rows
+    give no rows.
     """
     folder = scratch(docs.sparkSession)
-    docs = grouped(docs.select("doc_id", "text", "lang"), store(large_languages(docs), f"{folder}/languages"))
+    docs = grouped(docs.select("doc_id", "text", "lang", *also), store(large_languages(docs), f"{folder}/languages"))
     common = common_words(docs, folder, common_share)
-    rows = measures(docs).join(F.broadcast(common), F.col("group") == F.col("name"), "left")
+    rows = measures(docs, also).join(common, F.col("group") == F.col("name"), "left")
     rows = rows.withColumn("hits", F.expr("filter(words, word -> array_contains(common, word))"))
     counts = "transform(common, c -> cast(size(filter(hits, h -> h = c)) AS BIGINT))"
     rows = rows.withColumn("counts", F.expr(f"concat({counts}, array(n_words - size(hits)))")).drop("words", "hits", "common")
     # Written down: filters on the verdict must not compute the measures again.
     rows = store(rows, f"{folder}/measured")
     sums = F.array(*[F.sum(F.col("classes")[i]) for i in range(6)]).alias("ref_classes")
-    references = store(rows.groupBy(F.col("group").alias("known")).agg(sums), f"{folder}/classes")
-    rows = rows.join(F.broadcast(references), F.col("group") == F.col("known")).withColumns(
+    judged = rows.filter(F.col("group").isNotNull())
+    references = store(judged.groupBy(F.col("group").alias("known")).agg(sums), f"{folder}/classes")
+    rows = rows.join(references, F.col("group") == F.col("known"), "left").withColumns(
         {
             "base_failed": (F.col("n_words") < LEAST_WORDS)
             | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
@@ -216,6 +225,7 @@ def quality(
     )
     verdicts = rows.select(
         "doc_id",
+        *also,
         "n_words",
         "word_chars",
         "n_symbols",

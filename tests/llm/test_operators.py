@@ -232,3 +232,18 @@ def test_quality_of_odd_rows(odd, none):
     assert len(rows) == odd.count()
     assert all(r.base_failed and not r.kept for r in rows if r.doc_id in (0, 1, 2, 3, 9))
     assert quality.quality(none).collect() == []
+
+
+def test_quality_of_rare_languages(spark):
+    """Two languages of different scripts below a thousandth of the documents, and rows without one."""
+    latin = [prose(2000 + i, 80) for i in range(115)]
+    cyrillic = [t.translate(str.maketrans("abcdefgh", "абвгдежз")) for t in latin]
+    rows = [(i, t, "xa") for i, t in enumerate(latin)] + [(1000 + i, t, "xb") for i, t in enumerate(cyrillic)]
+    rows += [(2000, cyrillic[0], None), (2001, latin[0], ""), (2002, cyrillic[1], "xc"), (2003, latin[1], "xc")]
+    rows += [(2004, "7 " * 9 + " ".join(map(str, range(10**6, 10**6 + 80))), "xa")]
+    many = spark.range(10_000, 130_000).select("id", F.lit("a b c").alias("text"), F.lit("en").alias("lang"))
+    found = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string").unionByName(many.withColumnRenamed("id", "doc_id")))
+    by_id = {r.doc_id: r for r in found.filter("doc_id < 10000").collect()}
+    assert [i for i, r in by_id.items() if not r.kept] == [2004] and len(by_id) == len(rows)
+    assert all(by_id[i].class_distance is None and by_id[i].word_distance is None for i in range(2000, 2004))
+    assert by_id[0].class_distance < 0.1 > by_id[1000].class_distance
