@@ -155,14 +155,15 @@ def merge(index: DataFrame, keys: int, incoming: DataFrame) -> DataFrame:
     )
 
 
-def exact_duplicates(docs: DataFrame, history: Column | None = None) -> DataFrame:
+def exact_duplicates(docs: DataFrame, history: Column | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 and known for each row of ``docs``.
 
     ``history`` says which rows were there before the others (by default those with a doc_id up to
     the mean); they make the index, the others are looked up in it. Of equal texts the row with the
     largest doc_id stays. A null text equals an empty one. Rows without doc_id lose to any others;
     a group with none but such has a null keep_id and keeps them all. Rows repeated under the
-    winning doc_id are one document and stay together. Other columns are not looked at.
+    winning doc_id are one document and stay together. Other columns are not looked at; those named
+    by ``also`` are passed through.
     ``known`` tells whether the history has the text. An empty table gives no rows.
     """
     folder = scratch(docs.sparkSession)
@@ -174,6 +175,7 @@ def exact_duplicates(docs: DataFrame, history: Column | None = None) -> DataFram
             F.col("doc_id").cast("long").alias("doc_id"),
             text_digest(F.col("text")).alias("digest"),
             F.coalesce(history, F.lit(False)).alias("old"),
+            *also,
         ),
         f"{folder}/digests",
     )
@@ -190,4 +192,5 @@ def exact_duplicates(docs: DataFrame, history: Column | None = None) -> DataFram
         F.col("doc_id").eqNullSafe(F.col("winner")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         F.col("member").alias("known"),
+        *also,
     )

@@ -53,9 +53,11 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, words: int) -> DataFrame:
-    """n_shingles and symbols (bytes) in place of the text of (doc_id, digest, text)."""
+    """n_shingles and symbols (bytes) in place of the text of (doc_id, digest, text, and any strings)."""
+    also = rows.columns[3:]
     kinds = pa.schema(
         [("doc_id", pa.int64()), ("digest", pa.string()), ("n_shingles", pa.int64()), ("symbols", pa.binary())]
+        + [(c, pa.string()) for c in also]
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +68,11 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
                 sizes.append(len(found))
                 symbols.append(signature(found).tobytes())
             columns = [batch["doc_id"], batch["digest"], pa.array(sizes, pa.int64()), pa.array(symbols, pa.binary())]
+            columns += [batch[c] for c in also]
             yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
-    return rows.mapInArrow(sign, "doc_id long, digest string, n_shingles long, symbols binary")
+    strings = "".join(f", {c} string" for c in also)
+    return rows.mapInArrow(sign, "doc_id long, digest string, n_shingles long, symbols binary" + strings)
 
 
 def chunk_keys(symbols: str) -> Column:
@@ -189,7 +193,9 @@ def _distance(a: str, b: str):
     return F.lit(HASHES) - sum(same[1:], same[0])
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY, also: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs``.
 
     Two documents are linked when 100 * shared shingles >= ``similarity`` * all their shingles.
@@ -198,13 +204,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     has are one shingle. Null, empty and blank texts have no shingles and no links. Equal texts
     are compared once. Rows repeated under one doc_id stay together; if they differ in text, the
     doc_id links whatever its texts link. Rows without doc_id are linked with nothing and have a
-    null component_id, and are kept. Other columns are not looked at. No rows give no rows.
+    null component_id, and are kept. Other columns are not looked at; strings named by ``also`` are
+    passed through. No rows give no rows.
     """
     folder = scratch(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    rows = store(signatures(texts.select("doc_id", digest.alias("digest"), "text"), words), f"{folder}/signed")
+    digest = F.sha2(text.cast("binary"), 256)
+    signing = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("digest"), text.alias("text"), *also)
+    rows = store(signatures(signing, words), f"{folder}/signed")
     groups = store(
         rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("digest")
@@ -230,4 +238,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("component_id"),
         (F.col("doc_id").isNull() | (F.coalesce("class", "doc_id") == F.col("doc_id"))).alias("kept"),
+        *also,
     )
