@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import exact, lines, near, packing, passages, quality, rollup, subwords, toxicity, warc
+from candlewick.llm import conversations, exact, lines, near, packing, passages, quality, rollup, sql, subwords, toxicity, warc
 from candlewick.llm.text import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def op10_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 _EXACT = """
 WITH digests AS (
   SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256,
@@ -197,4 +201,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _EXACT, "op4_line_dedup": _LINES, "op5_warc": _WARC, "op9_quality": _QUALITY}
+    return {
+        "op3_exact_dedup": _EXACT,
+        "op4_line_dedup": _LINES,
+        "op5_warc": _WARC,
+        "op9_quality": _QUALITY,
+        "op13_conversation_repair": sql.CONVERSATIONS,
+    }
