@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from candlewick.llm import codes
 from candlewick.llm import conversations as conv
 
 # crc32 byte by byte; the keys are ASCII.
@@ -106,3 +107,45 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
        sha256(substr(best.t, 2)) AS repaired_sha256
 FROM ended WHERE i = n
 """
+
+
+def _nearest(books: str) -> str:
+    """Every part with its nearest entry of ``books``, and the squared distance."""
+    return f"""
+  SELECT r, part, v, min(struct_pack(d := list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := entry)) AS best
+  FROM parts JOIN {books} USING (part) GROUP BY r, part, v"""
+
+
+def _round(number: int) -> str:
+    """The entries after another round; those without parts stay."""
+    books = f"books{number - 1}"
+    return f"""
+near{number} AS ({_nearest(books)}),
+sums{number} AS (
+  SELECT part, best.e AS entry, position, floor(sum(v[position])::DECIMAL(38, 0) / count(*)) AS x
+  FROM near{number}, range(1, len(v) + 1) AS p(position) GROUP BY ALL),
+books{number} AS (
+  SELECT part, entry, coalesce(moved, c) AS c
+  FROM {books} LEFT JOIN (
+    SELECT part, entry, list(x::BIGINT ORDER BY position) AS moved FROM sums{number} GROUP BY ALL) USING (part, entry))"""
+
+
+VECTORS = f"""
+WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * {codes.SCALE})::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, part, v[part * (len(v) // {codes.PARTS}) + 1 : (part + 1) * (len(v) // {codes.PARTS})] AS v
+  FROM whole, range({codes.PARTS}) AS p(part)),
+books0 AS (SELECT part, r AS entry, v AS c FROM parts WHERE r < {codes.ENTRIES}),{",".join(map(_round, range(1, codes.ROUNDS + 1)))},
+final AS ({_nearest(f"books{codes.ROUNDS}")}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+  FROM final GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books{codes.ROUNDS})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (r), books
+"""
