@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import codes, conversations, exact, lines, near, packing, passages, quality, rollup, sql, subwords, toxicity, warc
+from candlewick.llm import codes, conversations, exact, licenses, lines, near, packing, passages, quality, rollup, sql, subwords, toxicity, warc
 from candlewick.llm.text import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def op10_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op11_license_scan(spark, sf_dir):
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op12_vector_codes(spark, sf_dir):
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
