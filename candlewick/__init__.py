@@ -35,7 +35,14 @@ from candlewick.operators.report import (
 from candlewick.plans.daily import run_day, with_stored_history
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse, warehouse_rows
-from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, union_frames
+from candlewick.sources.bars import (
+    daily_bars,
+    normalize_vendor,
+    read_vendor,
+    rejected_files,
+    union_frames,
+    vendor_files,
+)
 from candlewick.sources.files import read_processed, read_raw, rejected_rows
 
 __all__ = [
@@ -59,6 +66,7 @@ __all__ = [
     "read_processed",
     "read_raw",
     "read_vendor",
+    "rejected_files",
     "rejected_rows",
     "removal_counts",
     "replace_batch_dates",
@@ -73,6 +81,7 @@ __all__ = [
     "union_frames",
     "upsert_by_key",
     "validate",
+    "vendor_files",
     "volume_category",
     "warehouse_rows",
     "with_stored_history",

@@ -20,7 +20,7 @@ from candlewick.plans.daily import run_day, with_stored_history
 from candlewick.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse, warehouse_rows
-from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, union_frames
+from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, rejected_files, union_frames
 from candlewick.sources.files import read_processed, read_raw
 from candlewick.storage import scratch_folder
 from candlewick.streaming.incremental import load_new_files
@@ -234,11 +234,32 @@ def q_union_symbols(spark, sf_dir):
     return union_frames([orders_bars(spark, sf_dir), events_bars(spark, sf_dir)])
 
 
-def q_vendor_files(spark, sf_dir):
-    """Vendor files, one folder per symbol, read back in one scan; one asked symbol has none."""
+def _land_vendor_events(spark, sf_dir):
+    """Vendor files, one folder per symbol: two column orders, and symbols whose files lack a column or a header."""
     folder = scratch_folder(spark)
-    vendor_events(spark, sf_dir).write.partitionBy("symbol").option("header", True).csv(folder)
-    return read_vendor(spark, folder, [*EVENT_TYPES, "no-such-symbol"])
+    events = vendor_events(spark, sf_dir)
+    views, clicks = events.filter("symbol = 'view'"), events.filter("symbol = 'click'")
+    landings = [
+        events.filter("symbol <> 'view'"),
+        views.select(*reversed(views.columns)),
+        clicks.withColumnRenamed("Close", "Last").withColumn("symbol", F.lit("no-close")),
+        clicks.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(events.columns[:-1])}).withColumn("symbol", F.lit("no-header")),
+    ]
+    for landed in landings:
+        landed.write.mode("append").partitionBy("symbol").option("header", True).csv(folder)
+    return folder
+
+
+def q_vendor_files(spark, sf_dir):
+    """Vendor files read back in one scan; one asked symbol has none, and two have only broken ones."""
+    folder = _land_vendor_events(spark, sf_dir)
+    return read_vendor(spark, folder, [*EVENT_TYPES, "no-close", "no-header", "no-such-symbol"])
+
+
+def q_rejected_files(spark, sf_dir):
+    """Symbols with files that can't be read, why, and how many rows are in them."""
+    rejected = rejected_files(spark, _land_vendor_events(spark, sf_dir))
+    return rejected.groupBy("symbol", "reason").agg(F.sum(F.col("lines") - 1).alias("rows"))
 
 
 def q_warehouse_rows(spark, sf_dir):
@@ -573,6 +594,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "vendor_normalize": _vendor(),
         "vendor_files": _vendor(),
+        "rejected_files": """SELECT symbol, reason, count(*) AS rows
+            FROM events, (VALUES ('no-close', 'no column Close'), ('no-header', 'no column Date')) AS v(symbol, reason)
+            WHERE event_type = 'click' GROUP BY ALL""",
         "union_symbols": _with(
             f"SELECT {BAR_LIST} FROM bars UNION ALL SELECT {BAR_LIST} FROM event_bars",
             event_bars=EVENT_BARS_SQL,

@@ -35,7 +35,7 @@ from candlewick.operators.series import HOT_ROWS, hot_symbols
 from candlewick.schema import AVERAGE_ROWS, BAR_COLUMNS, LOOKBACK_SESSIONS, UNIVERSE
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse
-from candlewick.sources.bars import read_vendor
+from candlewick.sources.bars import read_vendor, rejected_files
 from candlewick.sources.files import read_processed, read_raw
 
 # Stored rows this far back usually fill the frame of every symbol.
@@ -49,6 +49,7 @@ class DayReport:
     extracted: dict[str, int]
     transformed: dict[str, int]
     missing: DataFrame
+    rejected: DataFrame
     run: DataFrame
     summary: DataFrame
 
@@ -74,6 +75,7 @@ def run_day(
     spark = warehouse.spark
     raw_uri, processed_uri = f"{lake_uri}/raw-data", f"{lake_uri}/processed-data"
 
+    # A file that can't be read adds nothing and is listed in the report.
     landed = require_rows(read_vendor(spark, vendor_uri, symbols, exchange_tz=exchange_tz))
     # Rows that belong to no session up to run_date pass on, to be removed and counted.
     in_time = F.coalesce(F.col("date") <= F.lit(run_date), F.lit(False))
@@ -102,6 +104,7 @@ def run_day(
         extracted=extracted,
         transformed=dict(transformed.get),
         missing=missing_symbols(batch, symbols),
+        rejected=rejected_files(spark, vendor_uri, symbols),
         run=run_summary(batch, symbols, run_date),
         summary=symbol_summary(warehouse.read()),
     )

@@ -35,12 +35,8 @@ RAW_CSV_SCHEMA = T.StructType(
 )
 
 # Vendor fields as text; they are cast by name, malformed ones to null.
-VENDOR_TEXT_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in ("Date", "Open", "High", "Low", "Close", "Volume", "symbol")
-    ]
-)
+VENDOR_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume"]
+VENDOR_TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in (*VENDOR_COLUMNS, "symbol")])
 
 FEATURE_SCHEMA = T.StructType(
     [

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.functions.columns import number_or_null, session_date
-from candlewick.schema import BAR_COLUMNS, VENDOR_TEXT_SCHEMA
+from candlewick.schema import BAR_COLUMNS, VENDOR_COLUMNS, VENDOR_TEXT_SCHEMA
+from candlewick.storage import scratch_folder
 
 
 def read_vendor(
@@ -24,25 +25,119 @@ def read_vendor(
 
     Asking for ``symbols`` prunes the folders; a symbol without a folder or
     without rows adds nothing (see ``missing_symbols`` for the report).
-    Malformed fields become null and fall to ``validate``. A file that vanishes
-    while it is read fails the read.
+    Malformed fields become null and fall to ``validate``. Each CSV file's own
+    header tells where its columns are; a file without the needed ones adds
+    nothing (see ``rejected_files``) and the others are read all the same.
     """
+    if fmt == "csv":
+        return normalize_vendor(_vendor_rows(spark, uri, symbols), exchange_tz=exchange_tz)
     reader = spark.read.format(fmt)
-    if fmt in ("csv", "parquet"):
-        # Columns are found by name, and each CSV file's header is checked; the
-        # folder's name is text, whatever it looks like.
-        reader = reader.option("header", True) if fmt == "csv" else reader
+    if fmt == "parquet":
+        # Columns are found by name; the folder's name is text, whatever it looks like.
         folder = T.StructField("symbol", T.StringType())
         names = [f for f in reader.load(uri).schema.fields if f.name != "symbol"]
-        reader = reader.option("enforceSchema", False).schema(T.StructType([*names, folder]))
+        reader = reader.schema(T.StructType([*names, folder]))
     elif fmt == "json":
         reader = reader.schema(VENDOR_TEXT_SCHEMA)
-    frame = reader.load(uri)
-    if symbols is not None:
-        frame = frame.filter(F.col("symbol").isin(list(symbols)))
+    frame = _asked(reader.load(uri), symbols)
     return normalize_vendor(frame, exchange_tz=exchange_tz)
 
 
+def vendor_files(spark: SparkSession, uri: str, symbols: Sequence[str] | None = None) -> DataFrame:
+    """One row per CSV file: path, symbol, header, lines (the header's included) and reason.
+
+    ``reason`` is null for files that can be read: every needed column stands
+    once in the header, in any order and case. Otherwise it names the first
+    column that does not, or says that no line could be read. Empty files have
+    no row. One pass over the text; a row per file and task is shuffled.
+    """
+    first = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    lines = _lines(spark, uri, symbols).select("value", "symbol", F.col("_metadata.file_path").alias("path"), first.alias("_at"))
+    files = lines.groupBy("path", "symbol").agg(F.min_by(F.left("value", F.lit(HEADER_CHARS)), "_at").alias("header"), F.count(F.lit(1)).alias("lines"))
+    names = _names(F.col("header"))
+    reason = F.lit(None).cast("string")
+    for name in reversed(VENDOR_COLUMNS):
+        times = F.size(names) - F.size(F.array_remove(names, name.lower()))
+        reason = F.when(times == 0, f"no column {name}").when(times > 1, f"several columns {name}").otherwise(reason)
+    files = files.withColumn("reason", reason)
+    listed = _asked(spark.read.format("binaryFile").schema(_FILE_SCHEMA).load(uri), symbols)
+    # The listing writes file:/ and hdfs:/ paths with one slash or three; the part after the scheme is the same.
+    tail = lambda path: F.regexp_replace(path, "^[a-z0-9+.-]+:/+", "")
+    silent = listed.filter("length > 0").join(files.select(tail(F.col("path")).alias("_seen")), tail(F.col("path")) == F.col("_seen"), "left_anti")
+    return files.unionByName(
+        silent.select("path", "symbol", F.lit(None).cast("string").alias("header"), F.lit(0).cast("long").alias("lines"), F.lit("no line could be read").alias("reason"))
+    )
+
+
+def rejected_files(spark: SparkSession, uri: str, symbols: Sequence[str] | None = None) -> DataFrame:
+    """The CSV files that ``read_vendor`` leaves out, with the reason and the number of their lines."""
+    return vendor_files(spark, uri, symbols).filter(F.col("reason").isNotNull())
+
+
+#: Longer first lines are no headers.
+HEADER_CHARS = 65_536
+QUOTED_COMMA = ',(?=[^"]*"(?:[^"]*"[^"]*")*[^"]*$)'
+_FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+        T.StructField("symbol", T.StringType()),
+    ]
+)
+
+
+def _asked(frame: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
+    return frame if symbols is None else frame.filter(F.col("symbol").isin(list(symbols)))
+
+
+def _lines(spark: SparkSession, uri: str, symbols: Sequence[str] | None) -> DataFrame:
+    """Lines of all files; unreadable and vanished files end early instead of failing the read."""
+    reader = spark.read.schema("value string, symbol string").options(ignoreCorruptFiles=True, ignoreMissingFiles=True)
+    return _asked(reader.text(uri), symbols)
+
+
+def _names(header: Column) -> Column:
+    """Column names in lower case, without byte-order mark, quotes and outer spaces."""
+    whole = F.regexp_replace(header, QUOTED_COMMA, " ")
+    plain = F.lower(F.regexp_replace(whole, "[\ufeff\"\r]", ""))
+    return F.transform(F.split(plain, ","), lambda name: F.trim(name))
+
+
+def _vendor_rows(spark: SparkSession, uri: str, symbols: Sequence[str] | None) -> DataFrame:
+    """The needed fields of all lines as text, by each file's own header.
+
+    The most common header is a constant of the plan. Only files with another
+    one, or without the needed columns, are joined by their path, so that the
+    join is small where files are alike and empty where they are the same;
+    adaptive execution broadcasts it if it is small and splits large files if not.
+    """
+    files = vendor_files(spark, uri, symbols)
+    names = _names(F.col("header"))
+    places = F.array(*[F.array_position(names, name.lower()).cast("int") - 1 for name in VENDOR_COLUMNS])
+    files = files.withColumns({"_width": F.size(names), "_places": places})
+    folder = scratch_folder(spark)
+    files.write.parquet(folder)  # a row per file; the text is not read for it again
+    files = spark.read.schema(files.schema).parquet(folder)
+    good = files.filter(F.col("reason").isNull())
+    usual = good.groupBy("header", "_places").count().orderBy(F.desc("count"), "header").first()
+    if usual is None:
+        return spark.createDataFrame([], VENDOR_TEXT_SCHEMA)
+    width = good.agg(F.max("_width")).first()[0]
+    others = files.filter(~F.col("header").eqNullSafe(F.lit(usual.header))).select(
+        F.col("path").alias("_path"), F.col("header").alias("_header"), "_places", "reason"
+    )
+    lines = _lines(spark, uri, symbols).select("*", F.col("_metadata.file_path").alias("path"))
+    lines = lines.join(others, F.col("path") == F.col("_path"), "left").filter(F.col("reason").isNull())
+    # A line like the header, the header itself among them, is no bar.
+    lines = lines.filter(F.col("value") != F.coalesce("_header", F.lit(usual.header)))
+    fields = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(width))))
+    parsed = lines.select("symbol", "_places", F.array(*[fields[f"c{i}"] for i in range(width)]).alias("_fields"))
+    place = lambda i: F.coalesce(F.get("_places", F.lit(i)), F.lit(usual._places[i]))
+    return parsed.select(*[F.get("_fields", place(i)).alias(name) for i, name in enumerate(VENDOR_COLUMNS)], "symbol")
+
+
 def normalize_vendor(
     frame: DataFrame, symbol: str | None = None, exchange_tz: str | None = None
 ) -> DataFrame:

@@ -43,6 +43,16 @@ def test_running_again_changes_nothing(spark, landed):
     assert table.read().count() == 12
 
 
+def test_a_bad_file_does_not_end_the_run(spark, landed):
+    folder = landed / "vendor" / "symbol=AMZN"
+    folder.mkdir()
+    (folder / "bars.csv").write_text("Date,Price\n2024-01-01,1\n")
+    table = Warehouse(spark, str(landed / "table"))
+    report = run_day(table, str(landed / "vendor"), str(landed / "lake"), day(5))
+    assert table.read().count() == 10 and rows(report.missing) == [("AMZN",), ("GOOGL",)]
+    assert [(r.symbol, r.lines, r.reason) for r in report.rejected.collect()] == [("AMZN", 2, "no column Open")]
+
+
 def test_literal_mode_repeats_rows(spark, landed):
     table = Warehouse(spark, str(landed / "table"))
     for _ in range(2):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from candlewick.schema import BAR_COLUMNS, BAR_SCHEMA
 from candlewick.sinks.files import write_processed, write_raw
-from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, union_frames
+from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, rejected_files, union_frames, vendor_files
 from candlewick.sources.files import read_processed, read_raw, rejected_rows
 from candlewick.storage import scratch_folder
 
@@ -41,6 +41,54 @@ def test_vendor_columns_are_found_by_name(spark, tmp_path):
     assert rows(read_vendor(spark, uri)) == [(day(0), "A", 3.0, 6.0, 4.0, 5.0, 9)]
 
 
+def test_every_file_by_its_own_header(spark, tmp_path):
+    """Column orders, quotes, a byte-order mark, broken files: the rest is read, the broken ones are named."""
+    uri = vendor(
+        tmp_path,
+        A=HEADER + "2024-01-01,1,2,0.5,1.5,7,0\n" + HEADER + "2024-01-02,1,2,0.5,1.5,8,0\n",
+        B="\ufeffVolume, close,DATE,Low,High,Open\r\n9,5,2024-01-01,4,6,3\r\n",
+        C='"Note, Close","Date","Open","High","Low","Close","Volume"\n"a, b",2024-01-01,1,2,0.5,1.5,7\nshort,2024-01-02\n',
+        D="Date,Open,High,Low,Last,Volume\n2024-01-01,1,2,0.5,1.5,7\n2024-01-02,1,2,0.5,1.5,7\n",
+        E="Date,Open,High,Low,Close,Close,Volume\n2024-01-01,1,2,0.5,1.5,7,8\n",
+        F="\x00\x01\x02 no table at all",
+        G="",
+        H="Date,Open,High,Low,Close,Volume",
+    )
+    (tmp_path / "symbol=I").mkdir()
+    (tmp_path / "symbol=I" / "bars.csv.gz").write_bytes(b"\x1f\x8b\x08\x00broken")
+    assert rows(read_vendor(spark, uri)) == [
+        (day(0), "A", 1.0, 2.0, 0.5, 1.5, 7),
+        (day(0), "B", 3.0, 6.0, 4.0, 5.0, 9),
+        (day(0), "C", 1.0, 2.0, 0.5, 1.5, 7),
+        (day(1), "A", 1.0, 2.0, 0.5, 1.5, 8),
+        (day(1), "C", None, None, None, None, None),
+    ]
+    rejected = {(r.symbol, r.reason, r.lines) for r in rejected_files(spark, uri).collect()}
+    assert rejected == {
+        ("D", "no column Close", 3),
+        ("E", "several columns Close", 2),
+        ("F", "no column Date", 1),
+        ("I", "no line could be read", 0),
+    }
+    assert [r.path.rsplit("/", 2)[1] for r in rejected_files(spark, uri, ["A", "D"]).collect()] == ["symbol=D"]
+    assert read_vendor(spark, uri, ["D", "F", "none"]).collect() == []
+
+
+def test_headers_of_files_in_many_splits(spark, tmp_path):
+    """A file cut into splits keeps one header; equal files need no join."""
+    text = "".join(f"{day(i)},{i + 1},{i + 1},{i + 1},{i + 1},7\n" for i in range(2000))
+    uri = vendor(tmp_path, A="Date,Open,High,Low,Close,Volume\n" + text, B="Date,Open,High,Low,Close,Volume\n" + text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert {(r.symbol, r.lines, r.reason) for r in vendor_files(spark, uri).collect()} == {("A", 2001, None), ("B", 2001, None)}
+        frame = read_vendor(spark, uri)
+        assert frame.rdd.getNumPartitions() > 10
+        assert frame.groupBy("symbol").agg(F.sum("close").alias("n")).collect() == [("A", 2001000.0), ("B", 2001000.0)]
+        frame.write.format("noop").mode("overwrite").save()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_malformed_vendor_fields_become_null(spark, tmp_path):
     text = HEADER + "garbage,1,2,0.5,1.5,7,0\n2024-01-01,x,nan,0.5,oops,12,0\n2024-01-02,1,2,0.5,1.5,7,0\n"
     found = rows(read_vendor(spark, vendor(tmp_path, A=text)))
