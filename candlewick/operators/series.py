@@ -3,8 +3,10 @@
 The plain form is one ``Window.partitionBy("symbol")``: one task per symbol.
 With one row per symbol and day that is bounded, because a century of daily
 rows is 36,525 rows. Without that promise a symbol, or even one symbol and day,
-may hold any share of the input, so hot symbols are cut into blocks of
-consecutive rows and each block gets the few rows before it (its halo).
+may hold any share of the input. So the rows of hot symbols go through a
+segmented scan: range partitions of the whole order are the segments, what a
+segment hands on is its last few rows (its tail), and the rows before a segment
+(its halo) come from the tails of those before it.
 """
 
 from __future__ import annotations
@@ -14,12 +16,15 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from candlewick.storage import scratch_folder
+
 # A symbol is hot above HOT_ROWS rows and above 1/MAX_BLOCKS of all rows. So
 # there are at most MAX_BLOCKS hot symbols and about as many blocks in all,
 # which bounds everything that is broadcast below.
 HOT_ROWS = 1_000_000
 MAX_BLOCKS = 20_000
-SAMPLES_PER_BLOCK = 16
+# Rows with more identical copies than this share of a block are counted instead of sorted.
+COPIES_SHARE = 4
 COPIES_PER_TASK = 100_000
 
 Expressions = Mapping[str, Callable[[WindowSpec], Column]]
@@ -40,8 +45,10 @@ def over_series(
     are ordered by ``tie`` and then by the remaining columns, so the result
     does not depend on how the input is partitioned.
 
-    ``split=False`` plans the plain window only; it is for callers that have
-    found ``hot_symbols`` empty and want the smaller plan.
+    Unless told ``unique`` or ``split=False``, the symbols are counted first; if
+    none is hot, the result is the plain window over ``bars`` and nothing else.
+    Otherwise the hot symbols' rows are written to the scratch folder, in order,
+    before the result is returned, so that a lost executor changes no block.
     """
     # Either form below returns zeros without a sign, so a symbol's size changes no value.
     plain = {c: F.when(F.col(c) == 0, F.lit(0).cast(t)).otherwise(F.col(c)) for c, t in bars.dtypes if t in ("double", "float")}
@@ -49,26 +56,29 @@ def over_series(
     rest = [c for c in bars.columns if c not in {"symbol", "date", *tie}]
     order = ["date"] if unique else ["date", *tie, *rest]
     window = Window.partitionBy("symbol").orderBy(*order)
+    whole = bars.withColumns(_bind(expressions, window))
     if unique or not split:
-        return bars.withColumns(_bind(expressions, window))
-
+        return whole
     hot = hot_symbols(bars, hot_rows)
-    is_hot = F.col("symbol").eqNullSafe(F.col("_hot"))
-    cold = bars.join(F.broadcast(hot), is_hot, "left_anti")
-    cold = cold.withColumns(_bind(expressions, window))
+    found = hot.agg(F.max("_block_rows").alias("block_rows"), F.sum("_rows").alias("rows")).first()
+    if found.rows is None:
+        return whole
 
-    packed = _collapse_copies(bars.join(F.broadcast(hot), is_hot).drop("_hot"), bars.columns)
-    blocks = _cut_into_blocks(packed, order, reach)
-    halo = _rows_before_each_block(blocks, order, reach)
-    window = Window.partitionBy("symbol", "_block").orderBy(*order, "_copy")
-    extended = blocks.unionByName(halo).withColumns(_bind(expressions, window))
+    folder = scratch_folder(bars.sparkSession)
+    hot = F.broadcast(_stored(hot, f"{folder}/hot"))
+    is_hot = F.col("symbol").eqNullSafe(F.col("_hot"))
+    cold = bars.join(hot, is_hot, "left_anti").withColumns(_bind(expressions, window))
+    packed = _collapse_copies(bars.join(hot, is_hot).select(bars.columns), found.block_rows, f"{folder}/many")
+    rows = _put_in_order(packed, order, -(-found.rows // found.block_rows), found.block_rows, f"{folder}/rows")
+    blocks = _spell_out_copies(rows, reach)
+    window = Window.partitionBy("symbol", "_block").orderBy("_at", "_copy")
+    extended = blocks.unionByName(_rows_before_each_block(rows, reach)).withColumns(_bind(expressions, window))
 
     columns = [*bars.columns, *expressions]
-    further = _further_copies(packed, bars.columns, expressions, reach)
     return (
         cold.select(columns)
         .unionByName(extended.filter(~F.col("_halo")).select(columns))
-        .unionByName(further.select(columns))
+        .unionByName(_further_copies(rows, bars.columns, expressions, reach).select(columns))
     )
 
 
@@ -77,99 +87,110 @@ def _bind(expressions: Expressions, window: WindowSpec) -> dict[str, Column]:
 
 
 def hot_symbols(bars: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``_hot`` symbol and ``_block_rows``, the wanted rows per block; at most MAX_BLOCKS rows.
+    """``_hot`` symbol, its ``_rows``, and ``_block_rows``, the wanted rows per block; at most MAX_BLOCKS rows.
 
-    Reads only the symbol column and shuffles one count per symbol and map
-    task. When the result is empty, adaptive execution drops every plan branch
-    that joins it, and only the plain window remains.
+    Reads only the symbol column and shuffles one count per symbol and map task.
     """
-    sizes = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    limit = sizes.agg(F.greatest(F.lit(hot_rows), F.ceil(F.sum("n") / MAX_BLOCKS))).scalar()
-    return sizes.withColumn("_block_rows", limit).filter("n > _block_rows").select(
-        F.col("symbol").alias("_hot"), "_block_rows"
+    sizes = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("_rows"))
+    limit = sizes.agg(F.greatest(F.lit(hot_rows), F.ceil(F.sum("_rows") / MAX_BLOCKS))).scalar()
+    return sizes.withColumn("_block_rows", limit).filter("_rows > _block_rows").select(
+        F.col("symbol").alias("_hot"), "_rows", "_block_rows"
     )
 
 
-def _collapse_copies(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Identical rows as one row and a count, combined map-side."""
-    return rows.groupBy(*columns, "_block_rows").agg(F.count(F.lit(1)).alias("_copies"))
-
-
-def _cut_into_blocks(packed: DataFrame, order: list[str], reach: int) -> DataFrame:
-    """Number the blocks of each symbol and spell out the first ``reach + 1`` copies of each row."""
-    content = F.xxhash64(*[c for c in packed.columns if not c.startswith("_")])
-    every = F.greatest(F.lit(1), F.col("_block_rows") / SAMPLES_PER_BLOCK).cast("long")
-    # "_copies > 0" keeps the count in this branch, so that all branches read
-    # the same shuffle of the collapsed rows.
-    samples = packed.filter((F.col("_copies") > 0) & (F.pmod(content, every) == 0))
-    cuts = samples.agg(F.sort_array(F.collect_list(F.struct("symbol", *order))).alias("all"))
-    cuts = cuts.select(
-        F.filter("all", lambda _, i: i % SAMPLES_PER_BLOCK == SAMPLES_PER_BLOCK - 1)
-    ).scalar()
-
-    # A row's block is the number of cuts at or before it, found by binary
-    # search. The cuts are one value per query: the column refers to it inside
-    # one generated function and is gone before rows are written anywhere.
-    row = F.struct("symbol", *order)
-    numbered = packed.select("*", cuts.alias("_cuts"), F.lit(0).alias("_block"))
-    for bit in reversed(range(MAX_BLOCKS.bit_length())):
-        step = 1 << bit
-        passed = F.get("_cuts", F.col("_block") + step - 1) <= row
-        numbered = numbered.withColumn(
-            "_block", F.col("_block") + F.when(F.coalesce(passed, F.lit(False)), step).otherwise(0)
-        )
-
-    return numbered.select(
-        "symbol",
-        *order,
-        "_block",
-        F.explode(F.sequence(F.lit(1), F.least("_copies", F.lit(reach + 1)).cast("int"))).alias("_copy"),
-        F.lit(False).alias("_halo"),
-    )
+def _stored(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
 
+def _collapse_copies(rows: DataFrame, block_rows: int, folder: str) -> DataFrame:
+    """Rows with ``_copies``: identical ones as one row and a count if there are very many, others as they are.
 
-def _rows_before_each_block(blocks: DataFrame, order: list[str], reach: int) -> DataFrame:
+    Which ones are many is found by counting hashes, so that no row is moved
+    for it; there are at most COPIES_SHARE such hashes per block.
+    """
+    content = F.xxhash64(*rows.columns)
+    hashed = rows.groupBy(content.alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    many = _stored(hashed.filter(F.col("_n") > block_rows // COPIES_SHARE).select("_hash"), folder)
+    if many.isEmpty():
+        return rows.withColumn("_copies", F.lit(1).cast("long"))
+    is_many = content == F.col("_hash")
+    few = rows.join(F.broadcast(many), is_many, "left_anti").withColumn("_copies", F.lit(1).cast("long"))
+    copies = rows.join(F.broadcast(many), is_many, "left_semi").groupBy(*rows.columns)
+    return few.unionByName(copies.agg(F.count(F.lit(1)).alias("_copies")))
+
+
+def _put_in_order(packed: DataFrame, order: list[str], blocks: int, block_rows: int, folder: str) -> DataFrame:
+    """The rows with ``_at``, their place in the order, and ``_block``, a range partition.
+
+    The partitions' bounds compare only as many leading columns of the order as
+    are needed to tell rows apart in groups no larger than a block, because the
+    bounds are sampled on the driver; within a partition all columns count.
+    """
+    leading = 1
+    while leading < len(order):
+        groups = packed.groupBy("symbol", *order[:leading]).agg(F.count(F.lit(1)).alias("n"))
+        if groups.agg(F.max("n")).first()[0] <= block_rows:
+            break
+        leading = min(2 * leading, len(order))
+    ranged = packed.repartitionByRange(int(blocks), "symbol", *order[:leading]).sortWithinPartitions("symbol", *order)
+    # Places of partition p start at p * 2 ** 33.
+    rows = _stored(ranged.withColumn("_at", F.monotonically_increasing_id()), folder)
+    return rows.withColumn("_block", F.shiftright("_at", 33))
+
+
+def _spell_out_copies(rows: DataFrame, reach: int) -> DataFrame:
+    """The first ``reach + 1`` copies of each row."""
+    copies = F.sequence(F.lit(1), F.least("_copies", F.lit(reach + 1)).cast("int"))
+    return rows.withColumns({"_copy": F.explode(copies), "_halo": F.lit(False)}).drop("_copies")
+
+
+def _rows_before_each_block(rows: DataFrame, reach: int) -> DataFrame:
     """The ``reach`` rows before each block, numbered into that block and marked.
 
-    Only the last ``reach`` rows of a block are shuffled, and the window over
-    them sees one row per block. A block holds at least one row, so ``reach``
+    Tails are found by place alone; at most ``reach`` places per block and symbol
+    are shuffled and broadcast. A block holds at least one row, so ``reach``
     earlier blocks always suffice.
     """
-    backwards = Window.partitionBy("symbol", "_block").orderBy(
-        *[F.desc(c) for c in order], F.desc("_copy")
-    )
+    places = _spell_out_copies(rows.select("symbol", "_block", "_at", "_copies"), reach)
+    backwards = Window.partitionBy("symbol", "_block").orderBy(F.desc("_at"), F.desc("_copy"))
     tails = (
-        blocks.withColumn("_back", F.row_number().over(backwards))
+        places.withColumn("_back", F.row_number().over(backwards))
         .filter(F.col("_back") <= reach)
         .groupBy("symbol", "_block")
-        .agg(F.sort_array(F.collect_list(F.struct(*order, "_copy"))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "_copy"))).alias("_tail"))
     )
     earlier = Window.partitionBy("symbol").orderBy("_block").rowsBetween(-reach, -1)
     before = tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
     last = F.filter("_before", lambda _, i: i >= F.size("_before") - reach)
-    return before.select("symbol", "_block", F.explode(last).alias("_row")).select(
-        "symbol", "_block", "_row.*", F.lit(True).alias("_halo")
+    halo = before.select(F.col("_block").alias("_next"), F.explode(last).alias("_row")).select(
+        "_next", F.col("_row._at").alias("_place"), "_row._copy"
+    )
+    return (
+        rows.join(F.broadcast(halo), F.col("_at") == F.col("_place"))
+        .withColumns({"_block": F.col("_next"), "_halo": F.lit(True)})
+        .drop("_next", "_place", "_copies")
     )
 
 
 def _further_copies(
-    packed: DataFrame, columns: list[str], expressions: Expressions, reach: int
+    rows: DataFrame, columns: list[str], expressions: Expressions, reach: int
 ) -> DataFrame:
     """The copies of a row past ``reach + 1``: they see nothing but copies of themselves.
 
     So all of them carry the values of copy ``reach + 1`` of a series made of
     that row alone. They are spread over tasks before they are spelled out.
     """
-    many = packed.filter(F.col("_copies") > reach + 1).withColumn(
+    many = rows.filter(F.col("_copies") > reach + 1).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.lit(reach + 1)))
     )
-    alone = Window.partitionBy(*columns, "_block_rows").orderBy("_copy")
+    alone = Window.partitionBy("_at").orderBy("_copy")
     last = many.withColumns(_bind(expressions, alone)).filter(F.col("_copy") == reach + 1)
     left = F.col("_copies") - (reach + 1)
     pieces = last.withColumn("_left", left).withColumn(
         "_start", F.explode(F.expr(f"sequence(0L, _left - 1, {COPIES_PER_TASK}L)"))
     )
     length = F.least(F.col("_left") - F.col("_start"), F.lit(COPIES_PER_TASK)).cast("int")
-    return pieces.repartition(*columns, "_start").withColumn(
+    return pieces.repartition("_at", "_start").withColumn(
         "_n", F.explode(F.sequence(F.lit(1), length))
     )

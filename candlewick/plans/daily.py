@@ -31,7 +31,6 @@ from candlewick.operators.quality import (
     validate,
 )
 from candlewick.operators.report import run_summary, symbol_summary
-from candlewick.operators.series import HOT_ROWS, hot_symbols
 from candlewick.schema import AVERAGE_ROWS, BAR_COLUMNS, LOOKBACK_SESSIONS, UNIVERSE
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse
@@ -83,11 +82,6 @@ def run_day(
     extracted = extract(fetched, raw_uri, run_date)
 
     raw = read_raw(spark, raw_uri, run_date)
-    if not use_history:
-        # Usually no symbol is hot; then the plan need not hold the splitting at all.
-        # With stored rows, only those and the batch together tell.
-        hot = hot_symbols(clean(raw), options.get("hot_rows", HOT_ROWS))
-        options.setdefault("split", not hot.isEmpty())
     transformed = Observation()
     if use_history:
         context_uri = f"{lake_uri}/history/run_date={run_date:%Y-%m-%d}"

@@ -124,10 +124,10 @@ NEIGHBOURS = {
 }
 
 
-@pytest.mark.parametrize("seed, samples_per_block", [(0, 1), (1, 3)])
-def test_hot_symbols_equal_brute_force(spark, monkeypatch, seed, samples_per_block):
+@pytest.mark.parametrize("seed, copies_share", [(0, 1), (1, 6)])
+def test_hot_symbols_equal_brute_force(spark, monkeypatch, seed, copies_share):
     """Few dates, many copies, one hot symbol and date; blocks down to a single row."""
-    monkeypatch.setattr(series_module, "SAMPLES_PER_BLOCK", samples_per_block)
+    monkeypatch.setattr(series_module, "COPIES_SHARE", copies_share)
     monkeypatch.setattr(series_module, "COPIES_PER_TASK", 3)
     rng = random.Random(seed)
     data = [(day(rng.randrange(4)), "HOT", float(rng.randrange(1, 9)), rng.randrange(3)) for _ in range(120)]
@@ -155,7 +155,7 @@ def test_hot_symbols_equal_brute_force(spark, monkeypatch, seed, samples_per_blo
     assert nearly(rows(ours)) == nearly(expected)
 
 
-def test_blocks_are_cut_and_bounded(spark):
+def test_blocks_are_cut_and_bounded(spark, tmp_path):
     """One symbol and date with distinct rows is cut into blocks of about the wanted size."""
     frame = spark.range(20_000).select(
         F.lit(day(0)).alias("date"),
@@ -163,12 +163,12 @@ def test_blocks_are_cut_and_bounded(spark):
         F.col("id").cast("double").alias("close"),
         F.lit(1).cast("long").alias("volume"),
     )
-    hot = series_module.hot_symbols(frame, 1_000)
-    packed = series_module._collapse_copies(frame.crossJoin(hot).drop("_hot"), frame.columns)
-    blocks = series_module._cut_into_blocks(packed, ["date", "close", "volume"], 6)
+    packed = series_module._collapse_copies(frame, 1_000, f"{tmp_path}/many")
+    blocks = series_module._put_in_order(packed, ["date", "close", "volume"], 20, 1_000, f"{tmp_path}/rows")
     sizes = [r[0] for r in blocks.groupBy("_block").count().select("count").collect()]
     assert sum(sizes) == 20_000
     assert len(sizes) >= 10 and max(sizes) < 5_000
+    assert [r.close for r in blocks.orderBy("_at").collect()] == list(range(20_000))
 
 
 def test_plain_and_split_agree_on_unique_keys(spark):

@@ -48,6 +48,7 @@ def test_preview_is_a_top_k(spark):
 
 def test_without_hot_symbols_only_the_plain_window_runs(spark):
     frame = add_features(series(spark, range(1, 30)))
+    assert "Join" not in plan(frame)
     text = final_plan(frame)
     assert text.count("Window [") == 1
     assert "xxhash64" not in text
