@@ -30,7 +30,7 @@ from candlewick.operators.quality import (
     require_rows,
     validate,
 )
-from candlewick.operators.report import run_summary, symbol_summary
+from candlewick.operators.report import run_summary, summary_of_parts
 from candlewick.schema import AVERAGE_ROWS, BAR_COLUMNS, LOOKBACK_SESSIONS, UNIVERSE
 from candlewick.sinks.files import write_processed, write_raw
 from candlewick.sinks.warehouse import Warehouse
@@ -100,7 +100,7 @@ def run_day(
         missing=missing_symbols(batch, symbols),
         rejected=rejected_files(spark, vendor_uri, symbols),
         run=run_summary(batch, symbols, run_date),
-        summary=symbol_summary(warehouse.read()),
+        summary=summary_of_parts(warehouse.parts()),
     )
 
 

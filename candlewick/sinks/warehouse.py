@@ -5,16 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candlewick.functions.columns import iso_date, number_or_null
 from candlewick.operators.replace import lost_keys, replace_batch_dates, replace_run_date, upsert_by_key
+from candlewick.operators.report import symbol_parts
 from candlewick.schema import FEATURE_COLUMNS, FEATURE_SCHEMA
-from candlewick.storage import delete_file, exists, files_in
+from candlewick.sinks.periods import PERIODS, PeriodTable
 
-PERIODS = ("day", "month", "year")
 MODES = ("replace_run_date", "replace_batch_dates", "upsert_by_key")
 
 
@@ -36,7 +35,9 @@ class Warehouse:
     """A table of features under ``uri``, one folder per day, month or year.
 
     The period changes no result. Choose it so that a period fills files of some
-    hundred megabytes: days for very many symbols, years for few.
+    hundred megabytes: days for very many symbols, years for few. A load becomes
+    visible at one commit (see ``PeriodTable``); counts, sums and extremes per
+    symbol and period are kept up to date with it.
     """
 
     spark: SparkSession
@@ -47,29 +48,39 @@ class Warehouse:
         if self.period not in PERIODS:
             raise ValueError(f"period must be one of {PERIODS}, not {self.period!r}")
 
+    @property
+    def table(self) -> PeriodTable:
+        return PeriodTable(self.spark, self.uri, FEATURE_SCHEMA, self.period, lambda rows: symbol_parts(rows, self.period))
+
     def exists(self) -> bool:
-        return exists(self.spark, self.uri)
+        return self.table.exists()
 
     def read(self, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
-        """Rows from ``first`` to ``last``, inclusive; folders outside are pruned."""
-        rows = self._stored()
+        """Rows from ``first`` to ``last``, inclusive; folders outside are not read."""
+        if first is None and last is None:
+            return self.table.read().select(FEATURE_COLUMNS)
+        since, until = first or dt.date.min, last or dt.date.max
+        periods = [p for p in self.table.periods() if p is not None and p <= until and self.table.last_day(p) >= since]
+        rows = self.table.read(periods)
         if first is not None:
-            in_folder = F.col(self.period) >= F.lit(self._first_day(first))
+            in_folder = F.col(self.period) >= F.lit(self.table.first_day(first))
             rows = rows.filter(in_folder & (F.col("date") >= F.lit(first)))
         if last is not None:
-            in_folder = F.col(self.period) <= F.lit(self._first_day(last))
+            in_folder = F.col(self.period) <= F.lit(self.table.first_day(last))
             rows = rows.filter(in_folder & (F.col("date") <= F.lit(last)))
         return rows.select(FEATURE_COLUMNS)
 
-    def ends(self) -> tuple[dt.date, dt.date] | None:
-        """The first and last day of the folders with dates; reads no column of the rows."""
-        first, last = self._stored().agg(F.min(self.period), F.max(self.period)).first()
-        return None if first is None else (first, self._last_day(last))
+    def parts(self) -> DataFrame:
+        """Rows, closes, their sum and extremes, and dates per symbol and period; the table is not read.
 
-    def _stored(self) -> DataFrame:
-        """All rows, with the folder they lie in."""
-        schema = T.StructType([*FEATURE_SCHEMA.fields, T.StructField(self.period, T.DateType())])
-        return self.spark.read.schema(schema).parquet(self.uri)
+        ``summary_of_parts``, ``counts_of_parts`` and ``run_summary_of_parts`` of them are the table's reports.
+        """
+        return self.table.read_derived().drop(self.period)
+
+    def ends(self) -> tuple[dt.date, dt.date] | None:
+        """The first and last day of the periods with dates; reads no row."""
+        days = [p for p in self.table.periods() if p is not None]
+        return (min(days), self.table.last_day(max(days))) if days else None
 
     def load(
         self,
@@ -90,64 +101,26 @@ class Warehouse:
             raise ValueError("replace_run_date needs a run_date")
         batch = batch.select(FEATURE_COLUMNS)
         if not self.exists():
-            self._write(batch, "append")
+            self.table.replace(batch)
             return
-        touched = self._touched(batch, run_date if mode == "replace_run_date" else None)
-
+        periods = self._periods(batch, run_date if mode == "replace_run_date" else None)
+        touched = self.table.read(periods).select(FEATURE_COLUMNS)
         if mode == "replace_run_date":
-            old = files_in(self.spark, f"{self.uri}/{self.period}={self._first_day(run_date)}")
-            self._write(replace_run_date(touched, batch, run_date), "overwrite")
-            # An overwrite leaves a period alone that receives no row; if the run
-            # date was all it held, its old files are still there.
-            for file in old:
-                delete_file(self.spark, file)
+            now = replace_run_date(touched, batch, run_date)
         elif mode == "replace_batch_dates":
             if not allow_partial and not lost_keys(touched, batch).isEmpty():
                 raise ValueError(
                     "the batch lacks symbols stored for its dates; use upsert_by_key or allow_partial"
                 )
-            self._write(replace_batch_dates(touched, batch), "overwrite")
+            now = replace_batch_dates(touched, batch)
         else:
-            self._write(upsert_by_key(touched, batch), "overwrite")
+            now = upsert_by_key(touched, batch)
+        self.table.replace(now, periods)
 
-    def _touched(self, batch: DataFrame, run_date: dt.date | None) -> DataFrame:
-        """Stored rows of the folders that hold a date of the batch, or the run date; rows without date are one folder.
+    def _periods(self, batch: DataFrame, run_date: dt.date | None) -> set[dt.date | None]:
+        """Periods that hold a date of the batch, or the run date; rows without date are one."""
+        return self.table.of(batch) | ({self.table.first_day(run_date)} if run_date else set())
 
-        The folders' names go into the filter, so that only those are read. There
-        are no more of them than the calendar has days.
-        """
-        found = batch.select(self._start(F.col("date"))).distinct().collect()
-        periods = {row[0] for row in found} | ({self._first_day(run_date)} if run_date else set())
-        folder = F.col(self.period)
-        wanted = folder.isin([period for period in periods if period is not None])
-        if None in periods:
-            wanted = wanted | folder.isNull()
-        return self._stored().filter(wanted).select(FEATURE_COLUMNS)
-
-    def _write(self, rows: DataFrame, how: str) -> None:
-        """Rows by date and symbol; an overwrite replaces only the periods present in ``rows``.
-
-        The rebalance brings each period together so that files are few, and
-        lets adaptive execution split a period too big for one task.
-        """
-        (
-            rows.withColumn(self.period, self._start(F.col("date")))
-            .hint("rebalance", F.col(self.period))
-            .sortWithinPartitions(self.period, "date", "symbol")
-            .write.mode(how)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.period)
-            .parquet(self.uri)
-        )
-
-    def _start(self, day: Column) -> Column:
-        return day if self.period == "day" else F.trunc(day, self.period).cast("date")
-
-    def _first_day(self, day: dt.date) -> dt.date:
-        if self.period == "day":
-            return day
-        return day.replace(day=1) if self.period == "month" else day.replace(month=1, day=1)
-
-    def _last_day(self, day: dt.date) -> dt.date:
-        days = {"day": 1, "month": 31, "year": 366}[self.period]
-        return self._first_day(self._first_day(day) + dt.timedelta(days=days)) - dt.timedelta(days=1)
+    def _touched(self, batch: DataFrame, run_date: dt.date | None) -> DataFrame:
+        """Stored rows of the periods that a load would rewrite."""
+        return self.table.read(self._periods(batch, run_date)).select(FEATURE_COLUMNS)
