@@ -19,8 +19,17 @@ from candlewick.operators import quality, replace, report
 from candlewick.plans.daily import run_day, with_stored_history
 from candlewick.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from candlewick.sinks.files import write_processed, write_raw
+from candlewick.sinks.periods import PeriodTable
 from candlewick.sinks.warehouse import Warehouse, warehouse_rows
-from candlewick.sources.bars import daily_bars, normalize_vendor, read_vendor, rejected_files, union_frames
+from candlewick.sources.bars import (
+    bar_state,
+    daily_bars,
+    land_ticks,
+    normalize_vendor,
+    read_vendor,
+    rejected_files,
+    union_frames,
+)
 from candlewick.sources.files import read_processed, read_raw
 from candlewick.storage import scratch_folder
 from candlewick.streaming.incremental import load_new_files
@@ -142,6 +151,19 @@ def q_daily_bars(spark, sf_dir):
     return orders_bars(spark, sf_dir)
 
 
+def q_daily_bars_merged(spark, sf_dir):
+    """Ticks of three landings, the last one sent twice, merged into stored bars by year."""
+    orders = table(spark, sf_dir, "orders")
+
+    def state(ticks):
+        return bar_state(ticks, "o_orderpriority", "o_orderdate", "o_totalprice", cents("o_totalprice"), "o_orderkey")
+
+    stored = PeriodTable(spark, scratch_folder(spark), state(orders).schema, "year")
+    for landing in (1, 2, 3, 3):
+        land_ticks(stored, state(orders.filter(F.col("o_orderkey") % 3 == landing - 1)), landing)
+    return stored.read().select(BAR_COLUMNS)
+
+
 def q_clean_bars(spark, sf_dir):
     return quality.clean(dirty_bars(spark, sf_dir))
 
@@ -336,6 +358,10 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def _loaded(spark, sf_dir, mode):
+    return _loaded_table(spark, sf_dir, mode).read()
+
+
+def _loaded_table(spark, sf_dir, mode):
     """Two loads of the same batch into a written table of features."""
     folder = scratch_folder(spark)
     warehouse = Warehouse(spark, f"{folder}/table", period="year")
@@ -345,7 +371,7 @@ def _loaded(spark, sf_dir, mode):
     batch.write.parquet(f"{folder}/batch")
     for _ in range(2):
         warehouse.load(read_processed(spark, f"{folder}/batch"), mode, RUN_DATE)
-    return warehouse.read()
+    return warehouse
 
 
 def q_load_replace_run_date(spark, sf_dir):
@@ -367,6 +393,29 @@ def _land_vendor_bars(spark, sf_dir, folder):
     vendor.write.partitionBy("symbol").option("header", True).csv(folder)
 
 
+def _summary_after(spark, sf_dir, mode):
+    """The symbol summary after two loads, from the partial aggregates alone."""
+    return report.summary_of_parts(_loaded_table(spark, sf_dir, mode).parts())
+
+
+def q_summary_replace_run_date(spark, sf_dir):
+    return _summary_after(spark, sf_dir, "replace_run_date")
+
+
+def q_summary_replace_batch_dates(spark, sf_dir):
+    return _summary_after(spark, sf_dir, "replace_batch_dates")
+
+
+def q_summary_upsert(spark, sf_dir):
+    return _summary_after(spark, sf_dir, "upsert_by_key")
+
+
+def q_run_summary_parts(spark, sf_dir):
+    """The run summary and counts of a stored table, from the partial aggregates alone."""
+    parts = _loaded_table(spark, sf_dir, "upsert_by_key").parts()
+    return report.run_summary_of_parts(parts, PRIORITIES, RUN_DATE)
+
+
 def q_daily_run(spark, sf_dir):
     """Two runs on neighbouring dates, the later one twice: the table after them."""
     folder = scratch_folder(spark)
@@ -516,6 +565,8 @@ def oracle_sql() -> dict[str, str]:
         f" UNION ALL SELECT {FEATURE_LIST} FROM batch"
     )
 
+    now = "SELECT * FROM stored WHERE date NOT IN (SELECT date FROM batch) UNION ALL SELECT * FROM batch"
+
     def fetched(day: str) -> str:
         return (
             f"SELECT * FROM dirty WHERE date <= {day} AND (symbol, date) IN"
@@ -529,6 +580,7 @@ def oracle_sql() -> dict[str, str]:
     }
     return {
         "daily_bars": _with(f"SELECT {BAR_LIST} FROM bars"),
+        "daily_bars_merged": _with(f"SELECT {BAR_LIST} FROM bars"),
         "clean_bars": _with(f"SELECT {BAR_LIST} FROM clean"),
         "validate_bars": _with(f"SELECT {BAR_LIST} FROM clean WHERE date <= {audit}"),
         "price_change": _with(f"SELECT {BAR_LIST}, {_change()} FROM clean"),
@@ -546,10 +598,7 @@ def oracle_sql() -> dict[str, str]:
         "moving_average_copies": _with(
             f"SELECT {ROW_LIST}, {_average('date, order_key')} FROM order_rows", order_rows=ROWS_SQL
         ),
-        "symbol_summary": _with(
-            f"SELECT symbol, {_round('max(close)')} AS max_close, {_round('min(close)')} AS min_close,"
-            f" {_round('avg(close)')} AS avg_close FROM featured GROUP BY symbol ORDER BY symbol"
-        ),
+        "symbol_summary": _with(_summary("featured")),
         "row_counts": _with(
             f"""SELECT count(*) AS total_rows,
                 count(*) FILTER (WHERE date IS NULL) AS null_date,
@@ -644,6 +693,22 @@ def oracle_sql() -> dict[str, str]:
         ),
         "load_replace_batch_dates": _with(corrected, **table_now),
         "load_upsert": _with(corrected, **table_now),
+        "summary_replace_run_date": _with(
+            _summary("now"),
+            **table_now,
+            now=f"""SELECT * FROM stored WHERE date <> {run} UNION ALL SELECT * FROM batch
+            UNION ALL SELECT * FROM batch WHERE date <> {run}""",
+        ),
+        "summary_replace_batch_dates": _with(_summary("now"), **table_now, now=now),
+        "summary_upsert": _with(_summary("now"), **table_now, now=now),
+        "run_summary_parts": _with(
+            f"""SELECT CAST({run} AS VARCHAR) AS run_date, count(*) AS total_rows,
+                count(DISTINCT symbol) AS symbol_count,
+                string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols,
+                CAST(min(date) AS VARCHAR) AS first_date, CAST(max(date) AS VARCHAR) AS last_date
+            FROM stored""",
+            **table_now,
+        ),
         "daily_run": _with(
             f"""SELECT {FEATURE_LIST} FROM one WHERE (symbol, date) NOT IN (SELECT (symbol, date) FROM two)
             UNION ALL SELECT {FEATURE_LIST} FROM two""",
@@ -654,6 +719,13 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _summary(source: str) -> str:
+    return (
+        f"SELECT symbol, {_round('max(close)')} AS max_close, {_round('min(close)')} AS min_close,"
+        f" {_round('avg(close)')} AS avg_close FROM {source} GROUP BY symbol ORDER BY symbol"
+    )
+
+
 def _vendor() -> str:
     return """
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS symbol, value AS open,

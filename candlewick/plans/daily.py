@@ -39,6 +39,8 @@ from candlewick.sources.files import read_processed, read_raw
 
 # Stored rows this far back usually fill the frame of every symbol.
 RECENT = dt.timedelta(days=60)
+# So many symbols at most are named in the filter of a read of the table.
+FEW_SYMBOLS = 200
 
 
 @dataclass
@@ -121,26 +123,45 @@ def with_stored_history(
     too few rows there. The few rows found are written to ``context_uri``, so
     that no later step reads the table.
     """
-    first, last = batch.agg(F.min("date"), F.max("date")).first()
-    if first is None or not warehouse.exists():
+    if not warehouse.exists():
+        return add_features(batch, rows=rows, **options)
+    span, symbols = _counted(batch_span(batch), f"{context_uri}/span")
+    first, last = span.agg(F.min("_first"), F.max("_last")).first()
+    if first is None:
         return add_features(batch, rows=rows, **options)
     reach = max(rows - 1, 1)
     since, until = first - recent, last + recent if refresh else last
-    near = history_context(batch, warehouse.read(since, until), rows, refresh)
-    context = _written(near, f"{context_uri}/near")
-    span = _written(batch_span(batch), f"{context_uri}/span")
-    further = [_further_rows(span, context, warehouse, since, recent, reach, False, f"{context_uri}/before")]
+    stored = Stored(warehouse, span, symbols)
+    near = history_context(batch, stored.read(since, until), rows, refresh)
+    context = written(near, f"{context_uri}/near")
+    further = [_further_rows(stored, context, since, recent, reach, False, f"{context_uri}/before")]
     if refresh:
-        further.append(_further_rows(span, context, warehouse, until, recent, reach, True, f"{context_uri}/after"))
+        further.append(_further_rows(stored, context, until, recent, reach, True, f"{context_uri}/after"))
     for found in further:
         context = context.unionByName(found) if found is not None else context
     return features_in_context(batch, context, rows, refresh, **options)
 
 
+@dataclass(frozen=True)
+class Stored:
+    """The table's rows of the symbols in ``span``: named in the filter if they are few, so that only their pages are read."""
+
+    warehouse: Warehouse
+    span: DataFrame
+    symbols: int
+
+    def read(self, first: dt.date, last: dt.date) -> DataFrame:
+        rows = self.warehouse.read(first, last)
+        if self.symbols > FEW_SYMBOLS:
+            return rows
+        names = [row[0] for row in self.span.select("_of").collect()]
+        wanted = F.col("symbol").isin([name for name in names if name is not None])
+        return rows.filter(wanted | F.col("symbol").isNull() if None in names else wanted)
+
+
 def _further_rows(
-    span: DataFrame,
+    stored: Stored,
     context: DataFrame,
-    warehouse: Warehouse,
     edge: dt.date,
     width: dt.timedelta,
     reach: int,
@@ -153,7 +174,7 @@ def _further_rows(
     the table is read in stretches, each four times as long as the one before, until
     every symbol has enough rows or the table ends.
     """
-    ends = warehouse.ends()
+    ends, span = stored.warehouse.ends(), stored.span
     take = rows_after if after else rows_before
     of_symbol = F.col("symbol").eqNullSafe(F.col("_of"))
     day = dt.timedelta(days=1)
@@ -163,25 +184,32 @@ def _further_rows(
         enough = take(known.join(span, of_symbol), reach).groupBy(F.col("symbol").alias("_found"))
         enough = enough.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= reach)
         short = span.join(enough, F.col("_of").eqNullSafe(F.col("_found")), "left_anti")
-        short = _written(short, f"{folder}/short{step}")
-        if short.isEmpty():
+        short, count = _counted(short, f"{folder}/short{step}")
+        if not count:
             break
         if after:
             stretch, edge = (edge + day, min(edge + width, ends[1])), min(edge + width, ends[1])
         else:
             stretch, edge = (max(edge - width, ends[0]), edge - day), max(edge - width, ends[0])
-        rows = warehouse.read(*stretch).select(BAR_COLUMNS).join(short, of_symbol)
-        rows = _written(take(rows, reach), f"{folder}/rows{step}")
+        rows = Stored(stored.warehouse, short, count).read(*stretch).select(BAR_COLUMNS).join(short, of_symbol)
+        rows = written(take(rows, reach), f"{folder}/rows{step}")
         found = rows if found is None else found.unionByName(rows)
         width, step = min(4 * width, dt.timedelta(days=36_525)), step + 1
     return found
 
 
-def _written(rows: DataFrame, uri: str) -> DataFrame:
+def written(rows: DataFrame, uri: str) -> DataFrame:
+    """The same rows, written down and read again."""
     rows.write.mode("overwrite").parquet(uri)
     return rows.sparkSession.read.schema(rows.schema).parquet(uri)
 
 
+def _counted(rows: DataFrame, uri: str) -> tuple[DataFrame, int]:
+    """``written`` and the number of rows, from the same job."""
+    seen = Observation()
+    return written(rows.observe(seen, F.count(F.lit(1)).alias("rows")), uri), seen.get["rows"]
+
+
 def extract(fetched: DataFrame, raw_uri: str, run_date: dt.date) -> dict[str, int]:
     """Land the valid bars; the counts come from the same job."""
     seen = Observation()

@@ -54,7 +54,11 @@ class PeriodTable:
 
     def periods(self) -> dict[Period, str]:
         """The load that holds each period."""
-        return self._manifest(self._last())
+        return self._manifest(self._last())[0]
+
+    def landing(self) -> int:
+        """The largest landing number of any load; 0 without any."""
+        return self._manifest(self._last())[1]
 
     def read(self, periods: Collection[Period] | None = None) -> DataFrame:
         """Rows of some periods, or of all, with the period's column; other folders are not even listed."""
@@ -65,13 +69,14 @@ class PeriodTable:
         empty = self.derived(self._read(self.uri, self.schema, ()))
         return self._read(f"{self.uri}/_derived", T.StructType([f for f in empty.schema if f.name != self.period]), periods)
 
-    def replace(self, rows: DataFrame, touched: Collection[Period] | None = None) -> None:
+    def replace(self, rows: DataFrame, touched: Collection[Period] | None = None, landing: int = 0) -> None:
         """Let ``rows`` be all rows of the ``touched`` periods, and of those that they lie in.
 
-        Touched periods without rows are empty afterwards.
+        Touched periods without rows are empty afterwards. ``landing`` is committed with them, so that
+        a caller who numbers what it adds can tell what is in the table already.
         """
         number = self._last()
-        loads = self._manifest(number)
+        loads, landed = self._manifest(number)
         load = uuid.uuid4().hex
         folder = f"{self.uri}/load={load}"
         self._write(rows.select(self.schema.names).withColumn(self.period, self.start(F.col("date"))), folder)
@@ -81,7 +86,7 @@ class PeriodTable:
             fresh = self.derived(self.spark.read.schema(schema).parquet(folder))
             fresh.repartition(self.period).write.partitionBy(self.period).parquet(f"{self.uri}/_derived/load={load}")
         loads = {p: old for p, old in loads.items() if p not in (touched or ())} | dict.fromkeys(written, load)
-        self._commit(number + 1, loads)
+        self._commit(number + 1, loads, max(landing, landed))
         self._forget(number + 1)
 
     def start(self, day: Column) -> Column:
@@ -135,22 +140,23 @@ class PeriodTable:
         names = [uri.rsplit("/", 1)[1] for uri in storage.files_in(self.spark, f"{self.uri}/_manifest")]
         return max([int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit()], default=0)
 
-    def _manifest(self, number: int) -> dict[Period, str]:
+    def _manifest(self, number: int) -> tuple[dict[Period, str], int]:
         if not number:
-            return {}
+            return {}, 0
         found = json.loads(storage.read_text(self.spark, f"{self.uri}/_manifest/{number:012d}.json"))
-        return {None if day is None else dt.date.fromisoformat(day): load for day, load in found}
+        return {None if day is None else dt.date.fromisoformat(day): load for day, load in found["loads"]}, found["landing"]
 
-    def _commit(self, number: int, loads: dict[Period, str]) -> None:
+    def _commit(self, number: int, loads: dict[Period, str], landing: int) -> None:
         entries = sorted(([p.isoformat() if p else None, load] for p, load in loads.items()), key=str)
-        storage.write_once(self.spark, f"{self.uri}/_manifest/{number:012d}.json", json.dumps(entries))
+        text = json.dumps({"landing": landing, "loads": entries})
+        storage.write_once(self.spark, f"{self.uri}/_manifest/{number:012d}.json", text)
 
     def _forget(self, number: int) -> None:
         """Delete what the last two manifests don't name, and manifests before them."""
         if number < 3:
             return
-        kept = {*self._manifest(number).items(), *self._manifest(number - 1).items()}
-        for period, load in set(self._manifest(number - 2).items()) - kept:
+        kept = {*self._manifest(number)[0].items(), *self._manifest(number - 1)[0].items()}
+        for period, load in set(self._manifest(number - 2)[0].items()) - kept:
             for uri in (self.uri, f"{self.uri}/_derived"):
                 storage.delete(self.spark, f"{uri}/load={load}/{self._folder(period)}")
         storage.delete(self.spark, f"{self.uri}/_manifest/{number - 2:012d}.json")

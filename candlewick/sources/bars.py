@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from candlewick.functions.columns import number_or_null, session_date
 from candlewick.schema import BAR_COLUMNS, VENDOR_COLUMNS, VENDOR_TEXT_SCHEMA
+from candlewick.sinks.periods import PeriodTable
 from candlewick.storage import scratch_folder
 
 
@@ -190,6 +191,49 @@ def daily_bars(
     )
 
 
+def bar_state(ticks: DataFrame, symbol: str, at: str, price: str, volume: Column, order: str) -> DataFrame:
+    """``daily_bars`` with the orders of open and close, so that bars of different ticks can be merged."""
+    return ticks.groupBy(F.to_date(at).alias("date"), F.col(symbol).alias("symbol")).agg(
+        F.min_by(price, order).alias("open"),
+        F.min(order).alias("open_order"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, order).alias("close"),
+        F.max(order).alias("close_order"),
+        F.sum(volume).alias("volume"),
+    )
+
+
+def merge_bars(states: DataFrame) -> DataFrame:
+    """One state per symbol and day, from any number of them over different ticks, in any order."""
+    return states.groupBy("date", "symbol").agg(
+        F.min_by("open", "open_order").alias("open"),
+        F.min("open_order").alias("open_order"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "close_order").alias("close"),
+        F.max("close_order").alias("close_order"),
+        F.sum("volume").alias("volume"),
+    )
+
+
+def land_ticks(stored: PeriodTable, states: DataFrame, landing: int) -> bool:
+    """Merge the bars of new ticks into the stored ones; False if this landing is in them already.
+
+    ``stored`` has the columns of ``bar_state``. Landings are numbered from 1 in
+    their order; one that was committed is not added again, so a repeat after a
+    failure changes nothing. Only the periods of the new ticks are read and
+    rewritten, a row per symbol and day, however many ticks they were made of.
+    """
+    if landing <= stored.landing():
+        return False
+    states = states.select(stored.schema.names)
+    touched = stored.of(states)
+    known = stored.read(touched).select(stored.schema.names)
+    stored.replace(merge_bars(known.unionByName(states)), touched, landing)
+    return True
+
+
 def union_frames(frames: Iterable[DataFrame]) -> DataFrame:
     """All rows of all frames, matched by column name."""
     return reduce(DataFrame.unionByName, [frame.select(BAR_COLUMNS) for frame in frames])

@@ -8,14 +8,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.quality import clean, dedupe
-from candlewick.plans.daily import with_stored_history
+from candlewick.plans.daily import with_stored_history, written
 from candlewick.schema import RAW_CSV_SCHEMA
+from candlewick.sinks.periods import PeriodTable
 from candlewick.sinks.warehouse import Warehouse
-from candlewick.sources.files import normalize_raw, read_processed
+from candlewick.sources.files import normalize_raw
 
 LANDED_SCHEMA = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("run_date", T.DateType())])
 
 
+#: The newest run date with which each key has come.
+DELIVERED_SCHEMA = T.StructType(
+    [T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType()), T.StructField("run_date", T.DateType())]
+)
+
+
 def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> StreamingQuery:
     """Load every raw file not seen yet, then stop.
 
@@ -28,16 +35,25 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
     spark = warehouse.spark
     landed = spark.readStream.schema(LANDED_SCHEMA).option("header", True).csv(raw_uri)
     bars = clean(normalize_raw(landed, "run_date"))
+    delivered = PeriodTable(spark, f"{state_uri}/delivered", DELIVERED_SCHEMA, warehouse.period)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        newest = _not_older(dedupe(batch, "run_date"), f"{state_uri}/delivered", batch_id)
-        latest = newest.drop("run_date")
+        folder = f"{state_uri}/batches/{batch_id}"
+        arrived = written(dedupe(batch, "run_date"), f"{folder}/arrived")
+        periods = delivered.of(arrived)
+        if not periods:
+            return
+        known = delivered.read(periods).select(DELIVERED_SCHEMA.names)
+        late = not periods.isdisjoint(delivered.periods())
+        latest = written(not_older(arrived, known), f"{folder}/latest") if late else arrived
         # Stored rows may hold a key many times, so keys aren't promised to be unique.
-        rows = with_stored_history(latest, warehouse, f"{state_uri}/history/{batch_id}", refresh=True)
+        rows = with_stored_history(latest.drop("run_date"), warehouse, f"{state_uri}/history/{batch_id}", refresh=True)
         # Written once, because the load reads the batch several times.
-        folder = f"{state_uri}/batches/{batch_id}"
-        rows.write.mode("overwrite").parquet(folder)
-        warehouse.load(read_processed(spark, folder), "upsert_by_key")
+        warehouse.load(written(rows, f"{folder}/rows"), "upsert_by_key")
+        # A repeat of this batch finds its own deliveries, which are not newer than themselves.
+        keys = arrived.select(DELIVERED_SCHEMA.names)
+        newest = known.unionByName(keys).groupBy("symbol", "date").agg(F.max("run_date").alias("run_date"))
+        delivered.replace(newest, periods)
 
     return (
         bars.writeStream.foreachBatch(apply)
@@ -47,18 +63,9 @@ def load_new_files(warehouse: Warehouse, raw_uri: str, state_uri: str) -> Stream
     )
 
 
-def _not_older(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    """Rows of ``batch`` but those whose key an earlier micro-batch delivered with a newer run date.
-
-    Each micro-batch notes its keys and run dates in a folder of its own, which a repeat replaces.
-    """
-    spark = batch.sparkSession
-    own = f"{folder}/batch={batch_id}"
-    keys = ["symbol", "date", "run_date"]
-    batch.select(keys).write.mode("overwrite").parquet(own)
-    known = spark.read.parquet(folder).filter(F.col("batch") < batch_id)
-    newest = known.groupBy("symbol", "date").agg(F.max("run_date").alias("_newest"))
-    newest = newest.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"), "_newest")
+def not_older(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``batch`` but those whose key is known with a newer run date; a key is known once at most."""
+    newest = known.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"), F.col("run_date").alias("_newest"))
     newer = (
         F.col("symbol").eqNullSafe(F.col("_symbol"))
         & F.col("date").eqNullSafe(F.col("_date"))
