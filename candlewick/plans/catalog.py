@@ -40,8 +40,8 @@ AUDIT_DATE = dt.date(2000, 1, 1)
 RUN_DATE = dt.date(2001, 8, 1)  # the last order date
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "9-NONE"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-# Low enough for the splitting of hot symbols to take part on small tables.
-SPLIT_ABOVE = 1_000
+# Low enough for the splitting of hot symbols to take part on small tables; a block is a task.
+SPLIT_ABOVE = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
