@@ -30,14 +30,13 @@ from candlewick.sources.bars import (
     rejected_files,
     union_frames,
 )
-from candlewick.sources.files import read_processed, read_raw
+from candlewick.sources.files import read_processed, read_raw, rejected_rows
 from candlewick.storage import scratch_folder
 from candlewick.streaming.incremental import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AUDIT_DATE = dt.date(2000, 1, 1)
-RUN_DATE = dt.date(2001, 8, 1)  # the last order date
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "9-NONE"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 # Low enough for the splitting of hot symbols to take part on small tables; a block is a task.
@@ -127,9 +126,14 @@ def vendor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def split_at_run_date(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stored bars up to RUN_DATE, and the last five sessions of each symbol among them."""
-    stored = bars.filter(F.col("date") <= F.lit(RUN_DATE))
+def run_date_of(spark: SparkSession, sf_dir: str) -> dt.date:
+    """The last order date."""
+    return table(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0] or AUDIT_DATE
+
+
+def split_at_run_date(bars: DataFrame, run_date: dt.date) -> tuple[DataFrame, DataFrame]:
+    """The stored bars up to the run date, and the last five sessions of each symbol among them."""
+    stored = bars.filter(F.col("date") <= F.lit(run_date))
     return stored, feat.lookback(stored, unique=True)
 
 
@@ -237,7 +241,7 @@ def q_dedupe_latest(spark, sf_dir):
 
 
 def q_run_summary(spark, sf_dir):
-    return report.run_summary(orders_bars(spark, sf_dir), PRIORITIES, RUN_DATE)
+    return report.run_summary(orders_bars(spark, sf_dir), PRIORITIES, run_date_of(spark, sf_dir))
 
 
 def q_lookback_sessions(spark, sf_dir):
@@ -284,8 +288,33 @@ def q_rejected_files(spark, sf_dir):
     return rejected.groupBy("symbol", "reason").agg(F.sum(F.col("lines") - 1).alias("rows"))
 
 
+def q_exchange_dates(spark, sf_dir):
+    """Vendor instants with an offset, as calendar dates of an exchange five hours behind."""
+    zoned = F.concat(F.date_format("Date", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
+    return normalize_vendor(vendor_events(spark, sf_dir).withColumn("Date", zoned), exchange_tz="-05:00")
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Raw lines with text in place of a number or a date, found by the reader."""
+    folder = scratch_folder(spark)
+    k = F.col("k")
+    bars = orders_bars(spark, sf_dir, first_order="k").select(
+        F.when(k % 17 == 1, "someday").otherwise(iso_date(F.col("date"))).alias("date"),
+        "symbol",
+        "open",
+        F.when(k % 19 == 2, "high").otherwise(F.col("high").cast("string")).alias("high"),
+        *["low", "close", "volume"],
+    )
+    bars.write.option("header", True).csv(f"{folder}/run_date={AUDIT_DATE}")
+    return rejected_rows(spark, folder).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("rejected"), F.count_if(F.col("_corrupt_record").contains("someday")).alias("bad_dates")
+    )
+
+
 def q_warehouse_rows(spark, sf_dir):
-    return warehouse_rows(q_transform_full(spark, sf_dir))
+    """Every missing change comes in as NaN."""
+    change = F.coalesce("price_change_pct", F.lit(float("nan")))
+    return warehouse_rows(q_transform_full(spark, sf_dir).withColumn("price_change_pct", change))
 
 
 def q_preview_rows(spark, sf_dir):
@@ -301,24 +330,25 @@ def q_sorted_bars(spark, sf_dir):
 
 
 def q_replace_run_date(spark, sf_dir):
-    stored, batch = split_at_run_date(orders_bars(spark, sf_dir))
-    return replace.replace_run_date(stored, batch, RUN_DATE)
+    run_date = run_date_of(spark, sf_dir)
+    stored, batch = split_at_run_date(orders_bars(spark, sf_dir), run_date)
+    return replace.replace_run_date(stored, batch, run_date)
 
 
 def q_replace_batch_dates(spark, sf_dir):
     """The batch corrects the closes of its dates, so that what was replaced shows."""
-    stored, _ = split_at_run_date(orders_bars(spark, sf_dir))
+    stored, _ = split_at_run_date(orders_bars(spark, sf_dir), run_date_of(spark, sf_dir))
     return replace.replace_batch_dates(stored, last_dates(stored).withColumn("close", F.col("close") + 1))
 
 
 def q_upsert_by_key(spark, sf_dir):
     """The batch corrects the closes it delivers, so the winner of each key shows."""
-    stored, batch = split_at_run_date(orders_bars(spark, sf_dir))
+    stored, batch = split_at_run_date(orders_bars(spark, sf_dir), run_date_of(spark, sf_dir))
     return replace.upsert_by_key(stored, batch.withColumn("close", F.col("close") + 1))
 
 
 def q_lost_keys(spark, sf_dir):
-    stored, batch = split_at_run_date(orders_bars(spark, sf_dir))
+    stored, batch = split_at_run_date(orders_bars(spark, sf_dir), run_date_of(spark, sf_dir))
     return replace.lost_keys(stored, batch)
 
 
@@ -339,22 +369,23 @@ def q_history_recent(spark, sf_dir):
 
 def q_csv_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark)
-    write_raw(q_clean_bars(spark, sf_dir), folder, RUN_DATE)
-    return read_raw(spark, folder, RUN_DATE)
+    run_date = run_date_of(spark, sf_dir)
+    write_raw(q_clean_bars(spark, sf_dir), folder, run_date)
+    return read_raw(spark, folder, run_date)
 
 
 def q_csv_inferred(spark, sf_dir):
     folder = scratch_folder(spark)
-    write_raw(q_clean_bars(spark, sf_dir), folder, RUN_DATE)
+    write_raw(q_clean_bars(spark, sf_dir), folder, run_date_of(spark, sf_dir))
     return read_raw(spark, folder, infer=True)
 
 
 def q_parquet_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark)
-    rows = q_transform_full(spark, sf_dir)
+    rows, run_date = q_transform_full(spark, sf_dir), run_date_of(spark, sf_dir)
     for _ in range(2):  # a second run replaces the first
-        write_processed(rows, folder, RUN_DATE)
-    return read_processed(spark, folder, RUN_DATE)
+        write_processed(rows, folder, run_date)
+    return read_processed(spark, folder, run_date)
 
 
 def _loaded(spark, sf_dir, mode):
@@ -365,12 +396,13 @@ def _loaded_table(spark, sf_dir, mode):
     """Two loads of the same batch into a written table of features."""
     folder = scratch_folder(spark)
     warehouse = Warehouse(spark, f"{folder}/table", period="year")
-    stored, _ = split_at_run_date(q_transform_full(spark, sf_dir))
-    warehouse.load(stored, mode, RUN_DATE)
+    run_date = run_date_of(spark, sf_dir)
+    stored, _ = split_at_run_date(q_transform_full(spark, sf_dir), run_date)
+    warehouse.load(stored, mode, run_date)
     batch = last_dates(warehouse.read()).withColumn("close", F.col("close") + 1)
     batch.write.parquet(f"{folder}/batch")
     for _ in range(2):
-        warehouse.load(read_processed(spark, f"{folder}/batch"), mode, RUN_DATE)
+        warehouse.load(read_processed(spark, f"{folder}/batch"), mode, run_date)
     return warehouse
 
 
@@ -413,7 +445,7 @@ def q_summary_upsert(spark, sf_dir):
 def q_run_summary_parts(spark, sf_dir):
     """The run summary and counts of a stored table, from the partial aggregates alone."""
     parts = _loaded_table(spark, sf_dir, "upsert_by_key").parts()
-    return report.run_summary_of_parts(parts, PRIORITIES, RUN_DATE)
+    return report.run_summary_of_parts(parts, PRIORITIES, run_date_of(spark, sf_dir))
 
 
 def q_daily_run(spark, sf_dir):
@@ -421,11 +453,23 @@ def q_daily_run(spark, sf_dir):
     folder = scratch_folder(spark)
     _land_vendor_bars(spark, sf_dir, f"{folder}/vendor")
     warehouse = Warehouse(spark, f"{folder}/table", period="year")
-    for run_date in (RUN_DATE - dt.timedelta(days=1), RUN_DATE, RUN_DATE):
+    last = run_date_of(spark, sf_dir)
+    for run_date in (last - dt.timedelta(days=1), last, last):
         run_day(warehouse, f"{folder}/vendor", f"{folder}/lake", run_date, symbols=PRIORITIES)
     return warehouse.read()
 
 
+def q_daily_run_history(spark, sf_dir):
+    """Runs a week apart, each with the stored rows in its series: features over all rows that were loaded."""
+    folder = scratch_folder(spark)
+    _land_vendor_bars(spark, sf_dir, f"{folder}/vendor")
+    warehouse = Warehouse(spark, f"{folder}/table", period="year")
+    last = run_date_of(spark, sf_dir)
+    for run_date in (last - dt.timedelta(days=7), last):
+        run_day(warehouse, f"{folder}/vendor", f"{folder}/lake", run_date, symbols=PRIORITIES, use_history=True)
+    return warehouse.read()
+
+
 def q_incremental_run(spark, sf_dir):
     """Raw files of two landings, the second overlapping the first, loaded as they arrive."""
     folder = scratch_folder(spark)
@@ -433,7 +477,7 @@ def q_incremental_run(spark, sf_dir):
     cut = dt.date(1998, 1, 1)
     landings = [
         (cut, bars.filter(F.col("date") <= F.lit(cut))),
-        (RUN_DATE, bars.filter(F.col("date") >= F.lit(cut))),
+        (run_date_of(spark, sf_dir), bars.filter(F.col("date") >= F.lit(cut))),
     ]
     warehouse = Warehouse(spark, f"{folder}/table", period="year")
     for run_date, landed in landings:
@@ -448,7 +492,8 @@ def q_late_bars(spark, sf_dir):
     bars = orders_bars(spark, sf_dir)
     late = F.dayofmonth("date").between(11, 13)
     warehouse = Warehouse(spark, f"{folder}/table", period="year")
-    for run_date, landed in ((RUN_DATE, bars.filter(~late)), (RUN_DATE + dt.timedelta(days=1), bars.filter(late))):
+    last = run_date_of(spark, sf_dir)
+    for run_date, landed in ((last, bars.filter(~late)), (last + dt.timedelta(days=1), bars.filter(late))):
         write_raw(landed, f"{folder}/raw", run_date)
         load_new_files(warehouse, f"{folder}/raw", f"{folder}/state").awaitTermination()
     return warehouse.read()
@@ -542,7 +587,7 @@ def _with(select: str, **steps: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    run, audit = f"DATE '{RUN_DATE}'", f"DATE '{AUDIT_DATE}'"
+    run, audit = "(SELECT max(CAST(o_orderdate AS DATE)) FROM orders)", f"DATE '{AUDIT_DATE}'"
     universe = ", ".join(f"('{name}')" for name in PRIORITIES)
     stored = {
         "stored": f"SELECT * FROM bars WHERE date <= {run}",
@@ -714,6 +759,15 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT {FEATURE_LIST} FROM two""",
             **runs,
         ),
+        "daily_run_history": _with(
+            f"SELECT {FEATURE_LIST} FROM everything",
+            everything=_features(f"({fetched(f'{run} - INTERVAL 7 DAY')} UNION {fetched(run)})"),
+        ),
+        "exchange_dates": _vendor("ts - INTERVAL 5 HOUR"),
+        "rejected_rows": _with(
+            "SELECT symbol, count(*) AS rejected, count(*) FILTER (WHERE k % 17 = 1) AS bad_dates"
+            " FROM bars WHERE k % 17 = 1 OR k % 19 = 2 GROUP BY symbol"
+        ),
         "incremental_run": _with(f"SELECT {FEATURE_LIST} FROM everything", everything=_features("bars")),
         "late_bars": _with(f"SELECT {FEATURE_LIST} FROM everything", everything=_features("bars")),
     }
@@ -726,9 +780,9 @@ def _summary(source: str) -> str:
     )
 
 
-def _vendor() -> str:
-    return """
-    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS symbol, value AS open,
+def _vendor(instant: str = "ts") -> str:
+    return f"""
+    SELECT CAST(CAST({instant} AS DATE) AS VARCHAR) AS date, event_type AS symbol, value AS open,
            value AS high, value AS low, value AS close,
            CAST(round(value * 100) AS BIGINT) AS volume
     FROM events"""
