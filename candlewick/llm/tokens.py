@@ -12,8 +12,7 @@ from candlewick.llm.text import CACHE_WORDS
 # Characters whose normal form, case and class are the same in any library: visible ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The runs into which the tokenizer's own pattern divides plain lower-case words.
-_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
-_SPACE = re.compile("[ \t\n\r]+")
+_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -23,6 +22,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
+class _WordIds(dict):
+    """Ids of words, looked up once each; starts afresh beyond CACHE_WORDS."""
+
+    def __init__(self, find):
+        super().__init__({"": b""})
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+            self[""] = b""
+        ids = self[word] = self.find(word)
+        return ids
+
+
 class WordTokenizer:
     """Ids of the tokenizer file ``word_bpe_49k.json``, equal to ``encode(text, add_special_tokens=False)``.
 
@@ -37,7 +51,7 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words = _WordIds(self._word)
         self.runs: dict[str, tuple[int, ...]] = {}
 
     def _run(self, run: str) -> tuple[int, ...]:
@@ -58,15 +72,8 @@ class WordTokenizer:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        parts, known = [], self.words
-        for word in _SPACE.split(text or ""):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                ids = known[word] = self._word(word) if word else b""
-            parts.append(ids)
-        return b"".join(parts)
+        words = (text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.words.__getitem__, words))
 
 
 _loaded: dict[str, WordTokenizer] = {}

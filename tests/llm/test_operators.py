@@ -175,6 +175,54 @@ def test_word_tokenizer_equals_the_library():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_equals_the_library_on_fuzz_and_a_table(spark):
+    from tokenizers import Tokenizer
+
+    whole, words, rng = Tokenizer.from_file(WORD), WordTokenizer(WORD), random.Random(11)
+    letters = [chr(c) for c in range(0x100)] + list("ßß.-'<st ") * 6
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(8000)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in texts:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_pieces_equal_the_library(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORD)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for capacity in (64, 4096):
+        wanted = []
+        for doc_id, text in docs.collect():
+            ids = [*whole.encode(text or "", add_special_tokens=False).ids, 1]
+            for piece, at in enumerate(range(0, len(ids), capacity)):
+                part = np.array(ids[at : at + capacity], "<u4")
+                wanted.append((doc_id, piece, at, len(part), zlib.crc32(part.tobytes())))
+        assert sorted(map(tuple, packing.pieces(docs, WORD, capacity).collect())) == sorted(wanted)
+
+
+def test_evolution_beats_best_fit():
+    """Where best fit misses the bound, islands that inject whole bins reach fewer sequences."""
+    better = 0
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        lengths, counts = np.unique(rng.integers(20, 61, 120), return_counts=True)
+        histogram = dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+        first = packing.fresh(histogram, 150, 0.0, rng)
+        bins = sum(count for count, _, _ in first)
+        population = [packing.fresh(histogram, 150, noise, rng) for noise in (0.0, 0.1, 0.2, 0.3)]
+        for _ in range(60):
+            mother, father = (population[i] for i in rng.choice(len(population), 2, replace=False))
+            population.append(packing.crossover(mother, father, histogram, 150, rng))
+            population = sorted(population, key=lambda g: packing.fitness(g, 150), reverse=True)[:4]
+        least = sum(count for count, _, _ in population[0])
+        assert packing.lower_bound(histogram, 150) <= least <= bins
+        better += least < bins
+    assert better
+
+
 def test_rollup(spark, odd, none):
     ledger = rollup.TokenLedger(spark, f"{scratch(spark)}/ledger")
     docs = odd.filter("doc_id IS NOT NULL")
