@@ -235,8 +235,53 @@ def test_rollup(spark, odd, none):
     totals = {r.version: (r.documents, r.tokens) for r in ledger.totals().collect()}
     assert totals == {"word": (len(left), sum(left.values())), "new": (1, 5)}
     assert ledger.commit(3, rollup.token_counts(none, "word", WORD)) and ledger.totals().count() == 2
-    with pytest.raises(ValueError):
-        ledger.commit(4, rollup.token_counts(odd, "word", WORD))
+    # Rows without doc_id are documents of their own; the null one has no tokens, the other has those of "one".
+    nulls = rollup.token_counts(odd.filter("doc_id IS NULL"), "null", WORD)
+    assert ledger.commit(4, nulls.unionByName(gone.withColumn("doc_id", F.lit(None).cast("long"))))
+    added = [(r.documents, r.tokens) for r in ledger.totals().filter("version = 'null'").collect()]
+    assert added == [(2, left[3])] and ledger.documents().filter("doc_id IS NULL").count() == 2
+
+
+def test_random_batches_in_any_order(spark, monkeypatch):
+    """Inserts, deletes and revisions, committed out of order, repeated and compacted, against a plain dict."""
+    monkeypatch.setattr(rollup, "COMPACT_EVERY", 3)
+    rng = random.Random(8)
+    schema = "doc_id long, source string, lang string, version string, n_tokens long"
+    batches = {}
+    for number in range(1, 9):
+        ids = rng.sample(range(12), 5)
+        batches[number] = [(i, rng.choice("st"), rng.choice(["en", None]), "v", rng.choice([None, *range(9)])) for i in ids]
+    ledger, done = rollup.TokenLedger(spark, f"{scratch(spark)}/ledger"), []
+    for number in (2, 1, 3, 5, 3, 8, 4, 1, 7, 6):
+        assert ledger.commit(number, spark.createDataFrame(batches[number], schema)) == (number not in done)
+        done = sorted({*done, number})
+        state = {}
+        for n in done:
+            state.update({row[0]: row for row in batches[n]})
+        wanted = {}
+        for _, *key, tokens in state.values():
+            if tokens is not None:
+                count, total = wanted.get(tuple(key), (0, 0))
+                wanted[tuple(key)] = (count + 1, total + tokens)
+        totals = {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in ledger.totals().collect()}
+        assert totals == wanted
+        assert sorted(map(tuple, ledger.documents().collect())) == sorted(r for r in state.values() if r[4] is not None)
+    assert len(ledger._batches()) < 3
+
+
+def test_counts_equal_the_library(spark):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = {r.doc_id: r.n_tokens for r in rollup.token_counts(docs, "byte", path).collect()}
+    assert found == {r.doc_id: len(own.encode_ordinary(r.text or "")) for r in docs.collect()}
 
 
 def test_warc(spark):
