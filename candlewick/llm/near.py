@@ -10,8 +10,11 @@ full shingle sets.
 
 Only components are wanted, so a bucket needs no pairs between documents known to be connected.
 Each round links every document with one hub of a bucket that spans several components, and stops
-once that finds nothing new; then the few pairs left between components of a bucket are all
-compared. So nothing depends on how large a bucket is, as long as its documents are alike.
+once that finds nothing new. Documents that are alike but not linked (pages of one template) still
+share buckets then, and their pairs are as many as the square of the bucket. Of these the pairs that
+can be linked share a rare shingle: sets in the order of how many documents have a shingle must
+meet in their first few, or they cannot meet in enough. So only pairs within the radius that share
+such a shingle are compared, which loses none.
 """
 
 from __future__ import annotations
@@ -122,14 +125,18 @@ def link_components(signed: DataFrame, texts: DataFrame, words: int, similarity:
     ``signed``: node, n_shingles and symbols of distinct texts; ``texts``: doc_id and text;
     ``links``: what is linked anyway.
     """
+    spark = signed.sparkSession
     keys = signed.select("node", F.explode(chunk_keys("symbols")).alias("key"))
     shared = keys.groupBy("key").count().filter("count > 1").select("key")
     keys = store(keys.join(shared, "key"), f"{folder}/keys")
-    facts = signed.select("node", "n_shingles", "symbols")
+    facts = store(signed.select("node", "n_shingles", "symbols"), f"{folder}/facts")
     nodes = keys.select(F.col("node").alias("doc_id")).distinct()
     texts = store(texts.join(nodes, "doc_id", "left_semi"), f"{folder}/texts")
-    tried = links.limit(0)
-    labels = components(links, f"{folder}/known")
+    # What is linked, and what has been compared, gather in a folder each; a round adds to them.
+    gathered = lambda kind: spark.read.schema("a long, b long").parquet(f"{folder}/{kind}")
+    store(links, f"{folder}/links/round=0")
+    tried = store(links.limit(0), f"{folder}/tried/round=0")
+    labels = components(gathered("links"), f"{folder}/known")
     labelled = lambda: keys.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -145,32 +152,69 @@ def link_components(signed: DataFrame, texts: DataFrame, words: int, similarity:
             .agg(F.min("hub").alias("hub"))
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
         )
-        pairs = store(_sized(pairs, facts, similarity).join(tried, ["a", "b"], "left_anti"), f"{folder}/pairs{number}")
-        found = store(verified(pairs, texts, words, similarity), f"{folder}/found{number}")
-        tried = tried.unionByName(pairs)
+        pairs = _sized(pairs, facts, similarity).join(tried, ["a", "b"], "left_anti")
+        pairs = store(pairs, f"{folder}/tried/round={number + 1}")
+        found = store(verified(pairs, texts, words, similarity), f"{folder}/links/round={number + 1}")
+        tried = gathered("tried")
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-        labels = components(links, f"{folder}/components{number}")
-    mixed = _mixed(labelled()).join(facts, "node")
-    first, second = (
-        mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n_shingles", "symbols")])
-        for side in "ab"
+        labels = components(gathered("links"), f"{folder}/components{number}")
+    mixed = store(_mixed(labelled()).select("node", "component").distinct(), f"{folder}/mixed")
+    rest = _meeting(mixed, texts, words, similarity, f"{folder}/sets")
+    for side in "ab":
+        rest = rest.join(facts.select(F.col("node").alias(side), F.col("symbols").alias(f"symbols_{side}")), side)
+    rest = rest.filter(_distance("symbols_a", "symbols_b") <= RADIUS).select("a", "b")
+    rest = rest.join(tried, ["a", "b"], "left_anti").join(
+        tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
     )
-    rest = (
-        first.join(second, "key")
-        .filter("node_a < node_b AND component_a <> component_b")
-        .filter(f"100 * least(n_shingles_a, n_shingles_b) >= {similarity} * greatest(n_shingles_a, n_shingles_b)")
-        .filter(_distance("symbols_a", "symbols_b") <= RADIUS)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-        .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    found = verified(store(rest, f"{folder}/rest"), texts, words, similarity)
+    found = store(found, f"{folder}/links/round={ROUNDS + 1}")
+    return labels if found.isEmpty() else components(gathered("links"), f"{folder}/components")
+
+
+def _meeting(nodes: DataFrame, texts: DataFrame, words: int, similarity: int, folder: str) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, component) in different components whose sets can meet the similarity.
+
+    Of sets x and y, not larger, with n and m shingles that are linked, at least similarity * (n + m) / (100 +
+    similarity) are shared. So in any one order of all shingles the first few of x and of y share one, and
+    neither has too few shingles left from there on. In the order of rarity few others share them.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text.as_py(), words).view(np.int64) for text in batch["text"]]
+            columns = [batch["node"], batch["text_key"], pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "text_key", "shingles"])
+
+    # Rows of one doc_id may have several texts, of which each has a set.
+    named = texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id")
+    named = named.groupBy(F.col("doc_id").alias("node"), F.xxhash64("text").alias("text_key")).agg(F.min("text").alias("text"))
+    sets = store(named.mapInArrow(listed, "node long, text_key long, shingles array<long>"), folder)
+    each = sets.select("node", "text_key", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    size, at = F.col("n_shingles"), F.col("at")
+    ordered = each.join(common, "shingle").groupBy("node", "text_key").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("all"))
+    first = ordered.withColumn("n_shingles", F.size("all").cast("long")).select(
+        "node", "n_shingles", F.posexplode(F.slice("all", F.lit(1), (size - _ceil(similarity * size, 100) + 1).cast("int"))).alias("at", "x")
+    )
+    first = first.filter("x.n > 1").select("node", "n_shingles", "at", F.col("x.shingle").alias("shingle")).join(nodes, "node")
+    small = first.filter(at <= size - _ceil(2 * similarity * size, 100 + similarity))
+    side = lambda rows, name: rows.select("shingle", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "component", "n_shingles", "at")])
+    n, m = F.col("a_n_shingles"), F.col("b_n_shingles")
+    needed = _ceil(similarity * (n + m), 100 + similarity)
+    meets = (
+        (F.struct("a_n_shingles", "a_node") < F.struct("b_n_shingles", "b_node"))
+        & (F.col("a_component") != F.col("b_component"))
+        & (100 * n >= similarity * m)
+        & (n - F.col("a_at") >= needed)
+        & (m - F.col("b_at") >= needed)
     )
-    found = store(verified(store(rest, f"{folder}/rest"), texts, words, similarity), f"{folder}/found")
-    if found.isEmpty():
-        return labels
-    return components(links.unionByName(found), f"{folder}/components")
+    return side(small, "a").join(side(first, "b"), "shingle").filter(meets).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def _ceil(value: Column, by: int) -> Column:
+    """Whole quotient, rounded up."""
+    return F.floor((value + by - 1) / by)
 
 
 def _sized(pairs: DataFrame, facts: DataFrame, similarity: int) -> DataFrame:

@@ -98,6 +98,42 @@ def test_near_against_all_pairs(spark, odd, none):
     assert near.near_duplicates(none).collect() == []
 
 
+def test_near_with_templates_just_below_the_threshold(spark, monkeypatch):
+    """200 pages of one template that are not linked, some linked pairs among them: no link is lost, few pairs compared."""
+    template, rng, rows = prose(4000, 170).split(), random.Random(6), []
+    for i in range(200):
+        own = prose(4100 + i, 26).split()  # shingles of four: about 0.74 of the union are shared
+        rows.append((i, " ".join(template + own)))
+        if i % 10 == 0:
+            rows.append((1000 + i, " ".join(template + own[:-1] + ["other"])))
+    compared = []
+    confirm = near.verified
+    monkeypatch.setattr(near, "verified", lambda pairs, *a: (compared.append(pairs.count()), confirm(pairs, *a))[1])
+    found = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()}
+    sets = {i: set(near.shingle_set(t, 4).tolist()) for i, t in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked == {(i, 1000 + i) for i in range(0, 200, 10)}
+    assert found == {i: i - 1000 if i >= 1000 else i for i in sets}
+    assert sum(compared) <= 3000 and compared[-1] <= 100  # of 24,090 pairs
+
+
+def test_pairs_that_meet_lose_no_link(spark):
+    """All links of random sets are among the pairs, whatever their sizes."""
+    rng, rows = random.Random(12), []
+    for _ in range(25):
+        base = rng.sample(range(300), rng.randint(1, 60))
+        for _ in range(4):
+            kept = [w for w in base if rng.random() > 0.1] or base
+            rows.append((len(rows), " ".join(f"w{w}" for w in dict.fromkeys(kept + rng.sample(range(300), rng.randint(0, 4))))))
+    sets = {i: set(t.split()) for i, t in rows}
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = texts.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
+    for similarity in (50, 80, 100):
+        links = {frozenset((a, b)) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])}
+        pairs = {frozenset((r.a, r.b)) for r in near._meeting(nodes, texts, 1, similarity, f"{scratch(spark)}/sets").collect()}
+        assert links <= pairs and (links or similarity == 100)
+
+
 def test_passages(spark, odd, none):
     shared, other = prose(50, 70), prose(51, 55).split()
     edited = [*other[:27], "edited", *other[28:]]
