@@ -32,8 +32,8 @@ from candlewick.llm.text import mix, scratch, shingles, split_words, store, word
 HASHES, CHUNKS, BITS = 48, 12, 16
 RADIUS = 2 * CHUNKS - 1
 WORDS, SIMILARITY = 5, 80
-#: Rounds of hubs at most; the comparison of all remaining pairs makes the result whole after any number.
-ROUNDS = 8
+#: Rounds of hubs at most; the comparison of what still can be linked makes the result whole after any number.
+ROUNDS = 3
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
