@@ -97,10 +97,14 @@ def _longs(values: pd.Series) -> np.ndarray:
     return values.astype("Int64").fillna(_NONE).to_numpy(np.int64)
 
 
-def build_index(history: DataFrame, folder: str) -> DataFrame:
-    """The index of a history of distinct digests (digest, winner, copies): a row per shard."""
+def build_index(history: DataFrame, folder: str, incoming: int = 0) -> DataFrame:
+    """The index of a history of distinct digests (digest, winner, copies): a row per shard.
+
+    There are enough shards for the digests of the history, and for ``incoming`` others that will be
+    looked up, to meet in groups of SHARD_KEYS or so.
+    """
     history = store(history.select("digest", "winner", "copies"), f"{folder}/history")
-    count = history.count()
+    count = max(history.count(), incoming)
 
     def build(key, rows: pd.DataFrame) -> pd.DataFrame:
         digests = _matrix(rows["digest"])
@@ -179,11 +183,11 @@ def exact_duplicates(docs: DataFrame, history: Column | None = None, also: tuple
         ),
         f"{folder}/digests",
     )
-    index = build_index(distinct_digests(rows.filter("old")), folder)
+    incoming = store(distinct_digests(rows.filter("NOT old")), f"{folder}/incoming")
+    count = incoming.count()
+    index = build_index(distinct_digests(rows.filter("old")), folder, count)
     keys = index.select("keys").first()
-    groups = store(
-        merge(index.drop("keys"), keys[0] if keys else 0, distinct_digests(rows.filter("NOT old"))), f"{folder}/groups"
-    )
+    groups = store(merge(index.drop("keys"), keys[0] if keys else count, incoming), f"{folder}/groups")
     # A digest may have a third of all rows: adaptive execution splits its side of this join.
     return rows.join(groups, "digest").select(
         "doc_id",

@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: str = "toxic", sample: int
     sampled = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
     model = (
         sampled.mapInPandas(find, kinds)
-        .coalesce(1)
+        .repartition(1)  # the sample alone meets in one task, after an exchange
         .mapInPandas(learn, "weights binary, thresholds array<double>")
         .first()
     )

@@ -49,6 +49,57 @@ def test_exact(odd, none):
     assert exact.exact_duplicates(none).collect() == []
 
 
+def test_incoming_digests_without_a_history_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exact, "SHARD_KEYS", 50)
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 500).alias("text"))
+    seen = []
+    shard = exact._shard
+    monkeypatch.setattr(exact, "_shard", lambda count: (seen.append(count), shard(count))[1])
+    rows = exact.exact_duplicates(docs, history=F.col("doc_id") < 0).collect()
+    assert seen and set(seen) == {500}
+    assert all(r.keep_id == 500 + r.doc_id % 500 and not r.known for r in rows) and len(rows) == 1000
+
+
+def test_the_model_is_fitted_on_what_an_exchange_brings_together(spark, monkeypatch):
+    """The scan and the features run in many tasks; three grades and the slope of the likelihood are right."""
+    rng = np.random.default_rng(3)
+    rows, grades = [], []
+    for i in range(600):
+        grade = i % 3
+        marks = rng.choice(np.arange(100 * grade, 100 * grade + 6), 3, replace=False) if grade else np.empty(0, np.int64)
+        rows.append(np.unique(np.r_[rng.integers(1000, 1400, 8), marks]))
+        grades.append(grade)
+    weights, thresholds = toxicity.fit(rows, np.array(grades))
+    assert len(thresholds) == 2 and thresholds[0] < thresholds[1]
+    scores = np.array([weights[r].sum() for r in rows])
+    above = 1 / (1 + np.exp(-(scores[:, None] - thresholds)))
+    severity = above.sum(1)
+    means = [severity[np.array(grades) == g].mean() for g in range(3)]
+    assert means[0] < 0.2 < 0.8 < means[1] < means[2]
+
+    def likelihood(w, t):
+        above = 1 / (1 + np.exp(-(np.array([w[r].sum() for r in rows])[:, None] - t)))
+        steps = np.hstack([np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))])
+        at = np.arange(len(rows))
+        return np.log(np.maximum(steps[at, grades] - steps[at, np.array(grades) + 1], 1e-9)).mean()
+
+    # At the maximum no small step of a threshold or of all weights helps by more than the penalty allows.
+    best = likelihood(weights, thresholds)
+    for step in (0.05, -0.05):
+        for k in range(2):
+            moved = thresholds.copy()
+            moved[k] += step
+            assert likelihood(weights, moved) < best + 1e-4
+    found = {}
+    docs = spark.range(0, 400, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("word w"), F.col("id") % 7).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    first = type(docs).first
+    monkeypatch.setattr(type(docs), "first", lambda self: (found.setdefault("plan", self._jdf.queryExecution().executedPlan().toString()), first(self))[1])
+    toxicity.train(docs, labels)
+    learn, _, find = found["plan"].partition("Exchange")
+    assert "MapInPandas learn" in learn and "MapInPandas find" in find and "Coalesce" not in found["plan"]
+
+
 def test_perfect_hash_has_no_gaps():
     digests = np.frombuffer(b"".join(hashlib.sha256(b"%d" % i).digest() for i in range(3000)), np.uint8).reshape(-1, 32)
     for count in (1, 2, 7, 3000):
