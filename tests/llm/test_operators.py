@@ -195,7 +195,7 @@ def test_passages(spark, odd, none):
     found = {r.doc_id: r for r in spans.collect()}
     text = dict(rows)
     assert found[2].of_doc_id == 1 and text[2].encode()[found[2].start : found[2].end].decode() == shared
-    assert set(found) <= {2, 5}
+    assert set(found) == {2, 5}
     kept = {r.doc_id: r.text for r in passages.cut_repeats(docs, spans).collect()}
     assert kept[1] == text[1] and kept[3] == text[3] and kept[6] == text[6] and kept[2].split() == prose(62, 9).split()
     spans = passages.repeated_passages(odd)
@@ -205,6 +205,28 @@ def test_passages(spark, odd, none):
     assert passages.repeated_passages(none).collect() == []
 
 
+def test_passages_are_cut_out_of_their_own_rows(spark):
+    """Several texts under one doc_id, rows without one, and columns with the names the operator might use."""
+    shared, clean = prose(5000, 70), prose(5001, 91)
+    texts = [(1, f"{prose(5002, 20)} {shared}"), (7, clean), (7, f"{prose(5003, 9)} {shared} é"), (7, prose(5004, 60)), (None, f"ß {shared}"), (None, prose(5005, 80)), (None, None), (8, clean)]
+    schema = "doc_id long, text string, whole string, cuts int, cut_doc_id long, row string, sha string, `of` long, number int, _row_key string"
+    rows = [(*t, f"w{i}", i, i, "r", "s", 1, 2, "mine") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, schema)
+    spans = passages.repeated_passages(docs)
+    found = {(r.doc_id, r.of_doc_id, r.text_sha256): (r.start, r.end) for r in spans.collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for doc_id, of, text in ((7, 1, texts[2][1]), (None, 1, texts[4][1])):
+        start, end = found.pop((doc_id, of, sha(text)))
+        assert text.encode()[start:end].decode() == shared
+    assert {(k[0], k[2]) for k in found} == {(8, sha(clean))} or {k[0] for k in found} == {7}  # whose text comes first
+    cut = {r.cuts: r for r in passages.cut_repeats(docs, spans).collect()}
+    for i, row in enumerate(rows):
+        changed = i in (2, 4) or i in ((7,) if found and next(iter(found))[0] == 8 else (1,))
+        assert (cut[i].text != row[1]) == changed
+        assert tuple(cut[i])[2:] == row[2:] and cut[i].doc_id == row[0]
+    assert cut[2].text.split() == [*prose(5003, 9).split(), "é"]
+
+
 def test_passages_of_which_most_is_common(spark):
     """45 words that 60 documents share, each followed by 10 words of a pair; and a run between two hubs."""
     common, rows = prose(500, 45), []
