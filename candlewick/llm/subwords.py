@@ -23,6 +23,8 @@ from candlewick.llm.text import CACHE_WORDS, scratch, store
 #: Characters of a chunk, and chunks whose matrices are combined together.
 CHUNK, BLOCK = 32_768, 256
 _SPACE = "▁"
+#: Stands for a text's own _SPACE: a noncharacter, which texts do not have.
+_OWN = "\U0010ffff"
 _NEVER = float("-inf")
 _UNKNOWN_PENALTY = 10.0
 
@@ -76,7 +78,7 @@ class Vocabulary:
         piece = self.pieces.get(text)
         if piece is not None:
             return [piece[0]]
-        return [self.bytes[b] for b in text.encode("utf-8", "replace")] if self.bytes else [self.unknown]
+        return [self.bytes[b] for b in text.replace(_OWN, _SPACE).encode("utf-8", "replace")] if self.bytes else [self.unknown]
 
     def path(self, text: str, back: list[int], end: int, stop: int = 0) -> tuple[list[int], int]:
         """Ids of the way that ends at ``end``, and the place at or before ``stop`` where it starts."""
@@ -128,9 +130,14 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def normal(text: str | None) -> str:
-    """Spaces as the vocabulary writes them, and one before a text that isn't empty."""
-    return _SPACE + text.replace(" ", _SPACE) if text else ""
+def spaced(text: str | None) -> str:
+    """A text that isn't empty with a space before it."""
+    return " " + text if text else ""
+
+
+def normal(text: str) -> str:
+    """Spaces as the vocabulary writes them; a text's own such characters, which no piece stands for, in another way."""
+    return text.replace(_SPACE, _OWN).replace(" ", _SPACE)
 
 
 class Chunk:
@@ -186,7 +193,7 @@ _IDS = "doc_id long, chunk long, start long, ids binary, text binary"
 
 
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, chunk, start, ids (little-endian unsigned 32-bit) and text (UTF-8 that they stand for).
+    """doc_id, chunk, start, ids (little-endian unsigned 32-bit) and text (the document's UTF-8 that they stand for).
 
     A row per chunk of every document, in whose order its ids are the document's; ``start`` counts
     characters of the text with a space before it. Null and empty texts have one chunk without
@@ -202,17 +209,17 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
         for batch in batches:
-            texts = [normal(t.as_py()) for t in batch["text"]]
+            texts = [spaced(t.as_py()) for t in batch["text"]]
             none = pa.array([0] * len(texts), pa.int64())
-            ids = pa.array([words.encode(t) for t in texts], pa.binary())
-            plain = pa.array([t.replace(_SPACE, " ").encode() for t in texts], pa.binary())
+            ids = pa.array([words.encode(normal(t)) for t in texts], pa.binary())
+            plain = pa.array([t.encode() for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], none, none, ids, plain], schema=kinds)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         beyond = vocabulary(model).longest - 1
         for batch in batches:
             for doc_id, row, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
-                text = normal(text)
+                text = spaced(text)
                 starts = range(0, len(text), chunk)
                 yield pd.DataFrame(
                     [
@@ -229,7 +236,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(model)
         for batch in batches:
-            found = [Chunk(words, t, n).matrix().astype("<f8").tobytes() for t, n in zip(batch["text"], batch["size"], strict=True)]
+            found = [Chunk(words, normal(t), n).matrix().astype("<f8").tobytes() for t, n in zip(batch["text"], batch["size"], strict=True)]
             yield batch[["row", "chunk"]].assign(matrix=found)
 
     transfers = store(chunks.mapInPandas(matrices, "row long, chunk long, matrix binary"), f"{folder}/matrices")
@@ -267,7 +274,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
         for batch in batches:
             found = []
             for text, size, last, first in zip(batch["text"], batch["size"], batch["last"], batch["first"], strict=True):
-                way = Chunk(words, text, size).ways(list(first))
+                way = Chunk(words, normal(text), size).ways(list(first))
                 found.append([way(b)[1] if size + b <= len(text) else 0 for b in range(1 if last else words.longest)])
             yield batch[["row", "chunk"]].assign(into=found)
 
@@ -301,8 +308,8 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
             for doc_id, number, text, size, first, end in zip(
                 *(batch[c] for c in ("doc_id", "chunk", "text", "size", "first", "end")), strict=True
             ):
-                ids, into = Chunk(words, text, size).ways(list(first))(int(end))
-                plain = text[into : size + int(end)].replace(_SPACE, " ").encode()
+                ids, into = Chunk(words, normal(text), size).ways(list(first))(int(end))
+                plain = text[into : size + int(end)].encode()
                 out.append((doc_id, number, number * chunk + into, ids, plain))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _IDS.split(", ")]).astype({"doc_id": "Int64"})
 

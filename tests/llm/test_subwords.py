@@ -15,7 +15,7 @@ def words():
 
 def brute(words, text):
     """One Viterbi over the whole text."""
-    text = subwords.normal(text)
+    text = subwords.normal(subwords.spaced(text))
     best, back = words.forward(text, [0.0])
     return words.path(text, back, len(text))[0]
 
@@ -33,7 +33,7 @@ def test_encoding_is_the_best_of_all_segmentations(words):
                     yield score + single, (n, *lengths), ids + words.ids(text[-n:])
 
     for text in ["", "a", "the of x ", "é中😀", "der und d", " lead"]:
-        normal = subwords.normal(text)
+        normal = subwords.normal(subwords.spaced(text))
         best = max(every(normal), key=lambda found: found[:2])[2]
         assert np.frombuffer(words.encode(normal), "<u4").tolist() == best, text
 
@@ -48,8 +48,17 @@ def test_chunks_make_the_same_ids_as_one_pass(spark, words):
         ids = np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist()
         assert ids == brute(words, text) * copies
         plain = b"".join(r.decoded for r in own).decode()
-        assert plain == (" " + text.replace("▁", " ") if text else "") * copies
+        assert plain == (" " + text if text else "") * copies
         assert all(r.decoded == r.text for r in own)
+    assert all(r.round_trip for r in subwords.digests(subwords.decode(subwords.encode(docs, MODEL, chunk=64), MODEL)).collect())
+
+
+def test_a_text_of_over_a_million_characters(spark, words):
+    text = ("▁" + "giant text ▁of words é " * 50_000)[:1_100_000]
+    found = subwords.decode(subwords.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), MODEL), MODEL).collect()
+    own = sorted(found, key=lambda r: r.chunk)
+    assert len(own) == 34 and b"".join(r.decoded for r in own).decode() == " " + text
+    assert np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist() == np.frombuffer(words.encode(subwords.normal(" " + text)), "<u4").tolist()
 
 
 def test_no_rows(spark):
