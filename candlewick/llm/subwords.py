@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.text import CACHE_WORDS, scratch, store
+from candlewick.llm.text import scratch, store
 
 #: Characters of a chunk, and chunks whose matrices are combined together.
 CHUNK, BLOCK = 32_768, 256
+#: Words that a worker keeps, of up to so many characters: an executor has several workers.
+KNOWN_WORDS, LONG_WORD = 150_000, 100
 _SPACE = "▁"
 #: Stands for a text's own _SPACE: a noncharacter, which texts do not have.
 _OWN = "\U0010ffff"
@@ -48,7 +50,8 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         # Where a space follows another character no piece goes on, so every segmentation ends one there.
         self.splits = not any(_SPACE in piece.lstrip(_SPACE) for piece in self.pieces)
-        self.words: dict[str, tuple[float, bytes]] = {}
+        self.words = _Words(self)
+        self.said = [self.byte_of.get(i, name.replace(_SPACE, " ").encode()) for i, name in enumerate(self.names)]
 
     def forward(self, text: str, best: list[float]) -> tuple[list[float], list[int]]:
         """Best scores of, and starts of the last pieces to, each place; ``best`` has those at the first places."""
@@ -90,19 +93,14 @@ class Vocabulary:
 
     def word(self, word: str) -> tuple[float, bytes]:
         """Score and ids of a stretch that begins and ends where pieces do."""
-        known = self.words.get(word)
-        if known is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            best, back = self.forward(word, [0.0])
-            ids, _ = self.path(word, back, len(word))
-            known = self.words[word] = (best[-1], np.array(ids, "<u4").tobytes())
-        return known
+        return self.words[word]
 
     def stretches(self, text: str) -> list[str]:
         """The text cut where a space follows another character."""
         if not self.splits:
             return [text]
+        if text[:1] == _SPACE and text[-1:] != _SPACE and _SPACE * 2 not in text:
+            return [_SPACE + part for part in text[1:].split(_SPACE)]
         out, lead = [], ""
         for part in text.split(_SPACE):
             if part:
@@ -113,12 +111,30 @@ class Vocabulary:
         return [*out, lead] if lead else out
 
     def encode(self, text: str) -> bytes:
-        return b"".join(self.word(w)[1] for w in self.stretches(text))
+        known = self.words
+        return b"".join([known[w][1] for w in self.stretches(text)])
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of a run of ids; the space before a text is still there."""
-        numbers = np.frombuffer(ids, "<u4").tolist()
-        return b"".join(self.byte_of[i] if i in self.byte_of else self.names[i].replace(_SPACE, " ").encode() for i in numbers)
+        return b"".join(map(self.said.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+class _Words(dict):
+    """Score and ids of stretches, found once each; starts afresh beyond KNOWN_WORDS."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: str) -> tuple[float, bytes]:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        best, back = self.vocabulary.forward(word, [0.0])
+        ids, _ = self.vocabulary.path(word, back, len(word))
+        found = (best[-1], np.array(ids, "<u4").tobytes())
+        if len(word) <= LONG_WORD:
+            self[word] = found
+        return found
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -188,6 +204,13 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[..., :, None] + b[None, :, :]).max(axis=-2) if a.ndim > 1 else (a[:, None] + b).max(axis=0)
 
 
+def _few(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Few chunks at a time, so that what is made of them leaves the worker soon."""
+    for batch in batches:
+        for at in range(0, len(batch), 64):
+            yield batch.iloc[at : at + 64]
+
+
 _CHUNKS = "doc_id long, row long, chunk long, size long, last boolean, text string"
 _IDS = "doc_id long, chunk long, start long, ids binary, text binary"
 
@@ -235,7 +258,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(model)
-        for batch in batches:
+        for batch in _few(batches):
             found = [Chunk(words, normal(t), n).matrix().astype("<f8").tobytes() for t, n in zip(batch["text"], batch["size"], strict=True)]
             yield batch[["row", "chunk"]].assign(matrix=found)
 
@@ -271,7 +294,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def maps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """For each number of characters beyond: the number of characters into the chunk on its way."""
         words = vocabulary(model)
-        for batch in batches:
+        for batch in _few(batches):
             found = []
             for text, size, last, first in zip(batch["text"], batch["size"], batch["last"], batch["first"], strict=True):
                 way = Chunk(words, normal(text), size).ways(list(first))
@@ -303,7 +326,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary(model)
-        for batch in batches:
+        for batch in _few(batches):
             out = []
             for doc_id, number, text, size, first, end in zip(
                 *(batch[c] for c in ("doc_id", "chunk", "text", "size", "first", "end")), strict=True
