@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.text import scratch, store
 
-#: A line is boilerplate on more than this share of a host's pages, and on this many pages at least.
-RATIO, LEAST_PAGES = 0.1, 5
+#: A line is boilerplate on more than this share of a host's pages; what one page only has is no repeat.
+RATIO, LEAST_PAGES = 0.1, 2
 
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 MARKUP = "(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->|<[^>]*>"

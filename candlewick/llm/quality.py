@@ -1,9 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A document's histograms of character classes and of its language's common words are compared with
-those of the whole language by Jensen-Shannon distance. Every language that has a thousandth of
-the documents or ``LEAST_DOCS`` of them has a reference, of at most 1 / ``common_share`` common
-words. References are joined without a forced broadcast, so there may be any number of them.
+those of the whole language by Jensen-Shannon distance. Every language of ``LEAST_DOCS`` documents
+or more has a reference, of at most 1 / ``common_share`` common words. References are joined without a forced broadcast, so there may be any number of them.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ MIN_CHARS, MIN_WORDS = 300, 50
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.42
 #: Base rule: too few words, or too large a percentage of them in repeated windows.
 LEAST_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
-#: A language below a thousandth of the documents needs this many to be judged by.
+#: A language needs this many documents to be judged by, however large the table.
 LEAST_DOCS = 100
 _BUCKETS = 1 << 16
 
@@ -128,11 +127,9 @@ def grouped(docs: DataFrame, large: DataFrame) -> DataFrame:
 
 
 def large_languages(docs: DataFrame) -> DataFrame:
-    """name of the languages that a thousandth or ``LEAST_DOCS`` of the documents have or more."""
-    counts = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("name")).count()
-    all_docs = counts.agg(F.sum("count").alias("all"))
-    judged = counts.crossJoin(F.broadcast(all_docs)).filter(f"(1000 * count >= all OR count >= {LEAST_DOCS}) AND name <> ''")
-    return judged.select("name")
+    """name of the languages that ``LEAST_DOCS`` documents or more have."""
+    counts = docs.groupBy(F.col("lang").cast("string").alias("name")).count()
+    return counts.filter((F.col("count") >= LEAST_DOCS) & (F.col("name") != "")).select("name")
 
 
 def common_words(docs: DataFrame, folder: str, common_share: float = COMMON_SHARE) -> DataFrame:

@@ -158,10 +158,9 @@ _CLASSES = (
 
 _QUALITY = f"""
 WITH large AS (
-  SELECT coalesce(lang, '') AS name FROM documents GROUP BY 1
-  HAVING 1000 * count(*) >= (SELECT count(*) FROM documents) AND name <> ''),
+  SELECT lang AS name FROM documents GROUP BY 1 HAVING count(*) >= {quality.LEAST_DOCS} AND name <> ''),
 docs AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(name, '') AS lang
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, name AS lang
   FROM documents LEFT JOIN large ON lang = name),
 split AS (
   SELECT r, doc_id, lang, text, {_CLASSES},
@@ -190,7 +189,7 @@ judged AS (
          coalesce(n_repeat_words, 0) AS n_repeat_words, n_chars, classes, ref_classes, ref_words,
          list_append(list_transform(common, lambda c: len(list_filter(words, lambda w: w = c))),
                      len(list_filter(words, lambda w: NOT list_contains(common, w)))) AS counts
-  FROM classed LEFT JOIN covered USING (r) JOIN ref USING (lang)),
+  FROM classed LEFT JOIN covered USING (r) LEFT JOIN ref USING (lang)),
 measured AS (
   SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed,
          {_distance("classes", "ref_classes")} AS class_distance, {_distance("counts", "ref_words")} AS word_distance

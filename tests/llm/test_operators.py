@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.llm import exact, near, packing, passages, quality, rollup, toxicity, warc
+from candlewick.llm import exact, lines, near, packing, passages, quality, rollup, toxicity, warc
 from candlewick.llm.components import components
 from candlewick.llm.queries import tokenizer_path
 from candlewick.llm.text import scratch
@@ -205,6 +205,35 @@ def test_passages(spark, odd, none):
     assert passages.repeated_passages(none).collect() == []
 
 
+def test_windows_are_those_of_the_whole_tree():
+    """Against a plain recursion, with equal keys and stretches of any length."""
+    rng = np.random.default_rng(7)
+
+    def split(keys, lo, hi, least):
+        if hi - lo < least:
+            return []
+        c = lo + int(np.argmin(keys[lo:hi]))
+        return [(lo, c, hi), *split(keys, lo, c, least), *split(keys, c + 1, hi, least)]
+
+    for trial in range(60):
+        stops = np.cumsum(rng.integers(0, 150, rng.integers(1, 9)))
+        starts = np.r_[0, stops[:-1]]
+        keys = rng.integers(0, 9 if trial % 3 else 1 << 60, stops[-1]).astype(np.uint64)
+        least = int(rng.integers(1, 60))
+        found = zip(*(x.tolist() for x in passages.compact_windows(keys, starts, stops, least)), strict=True)
+        assert sorted(found) == sorted(w for lo, hi in zip(starts.tolist(), stops.tolist(), strict=True) for w in split(keys, lo, hi, least))
+
+
+def test_words_are_hashed_alike_wherever_they_stand():
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcXYZ019éß", k=rng.randint(1, 9))) for _ in range(60_000)] + ["q" * 300_000, "Q" * 299_999, "end"]
+    text = " ".join(words).encode()
+    begin, end = passages.word_spans(text)
+    hashes = passages.hashed_words(np.frombuffer(text, np.uint8), begin, end).tolist()
+    plain = [w.encode().lower() for w in words]
+    assert len(hashes) == len(words) and len(set(zip(plain, hashes, strict=True))) == len(set(plain)) == len(set(hashes))
+
+
 def test_passages_are_cut_out_of_their_own_rows(spark):
     """Several texts under one doc_id, rows without one, and columns with the names the operator might use."""
     shared, clean = prose(5000, 70), prose(5001, 91)
@@ -436,6 +465,47 @@ def test_quality_of_odd_rows(odd, none):
     assert quality.quality(none).collect() == []
 
 
+def test_quality_judges_by_a_language_from_the_same_count_on_at_any_size(spark):
+    """One document is never its own reference: below the floor the base rule alone decides, in small tables as in large."""
+    digits = " ".join(map(str, range(10**6, 10**6 + 90)))
+    schema = "doc_id long, text string, lang string"
+    for others in (50, quality.LEAST_DOCS, 3000):
+        rows = [(i, prose(3000 + i % 200, 80), "en") for i in range(others)] + [(9000, digits, "xx"), (9001, digits, "en")]
+        by_id = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, schema)).filter("doc_id >= 9000").collect()}
+        assert by_id[9000].class_distance is None and by_id[9000].kept
+        judged = others >= quality.LEAST_DOCS
+        assert (by_id[9001].class_distance is not None) == judged and by_id[9001].kept != judged
+
+
+def test_lines_go_by_their_share_on_small_hosts_too(spark):
+    page = lambda *lines: "".join(f"<p>{x}</p>" for x in lines)
+    rows = [(i, f"http://small.example/{i}", page("menu", f"own {i}")) for i in range(4)]
+    rows += [(10 + i, f"http://two.example/{i}", page(*["both"], *(["one"] * (i == 0)))) for i in range(2)]
+    rows += [(20, "http://alone.example/", page("single", "single"))]
+    rows += [(100 + i, f"http://Large.example:80/{i}", page(*["rare"] * (i < 3), *["often"] * (i < 4), f"own {i}")) for i in range(30)]
+    found = {r.page_id: r.text for r in lines.drop_boilerplate(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [found[i] for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert (found[10], found[11], found[20]) == ("one", "", "single\nsingle")
+    assert found[100] == "rare\nown 0" and found[103] == "own 3" and found[129] == "own 29"  # 3 of 30 is not above a tenth
+
+
+def test_lines_of_odd_pages(spark):
+    """Nulls in any column, blank and very long pages, repeated rows, clashing names, no rows."""
+    schema = "page_id long, url string, html string, host string, lines int, boilerplate string, hash long, total long"
+    long = "\n".join(prose(7000 + i, 6) for i in range(20_000))
+    pages = [(1, None, "a"), (2, "http://h.example/a", None), (3, "http://h.example/b", " \n\t"), (None, "http://h.example/c", "a\nb"),
+             (4, "http://h.example/d", "a\nc"), (5, "no url", "a"), (6, "http://long.example/", long), (7, "http://r.example/", "x\ny"), (7, "http://r.example/", "x\ny"), (None, None, None)]
+    frame = spark.createDataFrame([(*p, "mine", 1, "b", 2, 3) for p in pages], schema)
+    rows = lines.drop_boilerplate(frame).collect()
+    assert len(rows) == len(pages)
+    found = sorted(((r.page_id, r.host, r.n_lines, r.n_dropped, r.text) for r in rows if r.page_id != 6), key=str)
+    wanted = [(1, None, 1, 0, "a"), (2, "h.example", 0, 0, ""), (3, "h.example", 0, 0, ""), (None, "h.example", 2, 1, "b"), (4, "h.example", 2, 1, "c"),
+              (5, None, 1, 0, "a"), (7, "r.example", 2, 2, ""), (7, "r.example", 2, 2, ""), (None, None, 0, 0, "")]
+    assert found == sorted(wanted, key=str)
+    assert next(r.text for r in rows if r.page_id == 6) == long
+    assert lines.drop_boilerplate(frame.limit(0)).collect() == []
+
+
 def test_quality_of_rare_languages(spark):
     """Two languages of different scripts below a thousandth of the documents, and rows without one."""
     latin = [prose(2000 + i, 80) for i in range(115)]
