@@ -61,10 +61,24 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
-def store(frame: DataFrame, folder: str) -> DataFrame:
-    """The same rows, written as Parquet and read again: lineage ends here, and lost executors cost nothing."""
-    frame.write.mode("overwrite").parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(frame: DataFrame, folder: str, tidy: bool = False) -> DataFrame:
+    """The same rows, written as Parquet and read again: lineage ends here, and lost executors cost nothing.
+
+    With ``tidy`` the shuffle files of this write go when it ends, not when the driver's memory is next swept.
+    """
+    spark = frame.sparkSession
+    before = spark.conf.get(_TIDY, "false")
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        frame.write.mode("overwrite").parquet(folder)
+    finally:
+        if tidy:
+            spark.conf.set(_TIDY, before)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def scratch(spark: SparkSession) -> str:
