@@ -274,6 +274,62 @@ def test_passages_of_which_most_is_common(spark):
     assert exact == wanted
 
 
+def test_edited_passages_of_which_most_is_common(spark):
+    """45 words that 60 documents share, each followed by 10 words of a pair, of which one has a word changed."""
+    common, rows = prose(500, 45), []
+    for i in range(30):
+        rows.append((i, f"{prose(600 + i, 30)} {common} {prose(700 + i, 60)}"))
+    for pair in range(15):
+        # No more than 44 shared words in a row: no equal stretch of 50.
+        tail, at = prose(800 + pair, 10), 10 + 2 * pair
+        words = common.split()
+        edited = " ".join([*words[:at], "edited", *words[at + 1 :]])
+        for i, part in enumerate((common, edited)):
+            n = 100 + 2 * pair + i
+            rows.append((n, f"{prose(900 + n, 40)} {part} {tail} {prose(1300 + n, 40)}"))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(101 + 2 * p, 100 + 2 * p) for p in range(15)} <= {(r.doc_id, r.of_doc_id) for r in found}
+    text = dict(rows)
+    for r in found:
+        one, other = (set(zip(*(w[i:] for i in range(5)), strict=False)) for w in (text[r.doc_id].encode()[r.start : r.end].split(), text[r.of_doc_id].encode()[r.of_start : r.of_end].split()))
+        assert r.n_words >= 50 and 100 * len(one & other) >= 80 * len(one | other)
+
+
+def test_passages_of_common_shingles_only(spark, monkeypatch):
+    """Texts of one phrase and of two phrases with a word between them, all of which are common."""
+    monkeypatch.setattr(passages, "FEW", 2)
+    one, two = prose(1500, 31), prose(1501, 31)
+    rows = [(n, f"{prose(1600 + n, 30)} {one} {prose(1700 + n, 60)} {two} {prose(1800 + n, 30)}") for n in range(6)]
+    rows += [(10 + n, f"{prose(1900 + n, 30)} {one} between{n} {two} {prose(2000 + n, 30)}") for n in range(6)]
+    docs, folder = spark.createDataFrame(rows, "doc_id long, text string"), scratch(spark)
+    docs = docs.withColumn("text", F.col("text").cast("binary"))
+    none = spark.createDataFrame([], "doc_id long, start long, end long")
+    matches = passages._seeded(none, docs, 5, 50, 80, folder)
+    found = passages._compared(matches, docs, 5, 50, 80, f"{folder}/seeded", agree=1).collect()
+    assert {r.doc_id for r in found} == set(range(11, 16)) and {r.of_doc_id for r in found} <= set(range(10, 15))
+
+
+def test_similar_passages_share_a_run():
+    """Against passages with words changed, left out and added at random."""
+    rng = random.Random(11)
+    for similarity in (60, 80, 95):
+        run = passages.sure_run(5, 46, similarity)
+        for _ in range(400):
+            words = list(range(rng.randint(50, 140)))
+            edited = list(words)
+            for i in range(rng.randint(1, 6)):
+                at = rng.randrange(len(edited))
+                edited[at : at + rng.randint(0, 1)] = [1000 + i] * rng.randint(0, 1)
+            one, other = ([tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (words, edited))
+            if len(other) < 46 or 100 * len({*one} & {*other}) < similarity * len({*one} | {*other}):
+                continue
+            longest = now = 0
+            for shingle in other:
+                now = now + 1 if shingle in {*one} else 0
+                longest = max(longest, now)
+            assert longest >= run
+
+
 def test_packing(spark, odd, none):
     pieces = packing.pieces(odd, WORD)
     packed = packing.pack(pieces).collect()
