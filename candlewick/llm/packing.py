@@ -42,11 +42,11 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokenizer(tokenizer).encode
+        encode_all = word_tokenizer(tokenizer).encode_all
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encode(text.as_py()) + end
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode_all(batch["text"]), strict=True):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from candlewick.llm.text import CACHE_WORDS
 
+#: Bytes of texts whose words are looked up together.
+_TOGETHER = 8_000_000
+
 # Characters whose normal form, case and class are the same in any library: visible ASCII and Latin-1 letters.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The runs into which the tokenizer's own pattern divides plain lower-case words.
@@ -52,29 +59,65 @@ class WordTokenizer:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.words = _WordIds(self._word)
-        self.runs: dict[str, tuple[int, ...]] = {}
+        self.runs: dict[str, bytes] = {}
 
-    def _run(self, run: str) -> tuple[int, ...]:
+    def _run(self, run: str) -> bytes:
         ids = self.runs.get(run)
         if ids is None:
             if len(self.runs) >= CACHE_WORDS:
                 self.runs.clear()
-            shown = run.encode().decode("latin-1").translate(self.letters)
-            ids = self.runs[run] = tuple(token.id for token in self.model.tokenize(shown))
+            shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+            ids = self.runs[run] = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
         return ids
 
     def _word(self, word: str) -> bytes:
+        # Letters alone, or with one mark after them, are one run or two.
+        if word.isascii():
+            if word.isalpha():
+                return self._run(word.lower())
+            if word[-1] in ",.!?;:" and word[:-1].isalpha():
+                return self._run(word[:-1].lower()) + self._run(word[-1])
         if _PLAIN.fullmatch(word) and "<|" not in word:
-            ids = [i for run in _RUNS.findall(word.lower()) for i in self._run(run)]
-        else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            return b"".join([self._run(run) for run in _RUNS.findall(word.lower())])
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = (text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.words.__getitem__, words))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of each text; the words of many texts are told apart first, so each is looked up once."""
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - sizes[start] + _TOGETHER, "right")))
+            if sizes[start] > _TOGETHER:
+                yield self.encode(texts[start].as_py())
+            else:
+                yield from self._together(texts.slice(start, stop - start))
+            start = stop
+
+    def _together(self, texts: pa.Array) -> Iterator[bytes]:
+        texts = pc.fill_null(texts, "")
+        for white in "\t\n\r":
+            texts = pc.replace_substring(texts, white, " ")
+        split = pc.split_pattern(texts, " ")
+        known = split.flatten().dictionary_encode()
+        ids = list(map(self.words.__getitem__, known.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        values = np.frombuffer(b"".join(ids), "<u4")
+        words = np.asarray(known.indices)
+        many = sizes[words]
+        ends = np.r_[0, np.cumsum(many)]
+        found = values[np.repeat(first[words] - ends[:-1], many) + np.arange(ends[-1])].tobytes()
+        # An empty text has one empty word.
+        edges = 4 * ends[np.r_[0, np.cumsum(np.asarray(pc.list_value_length(split)))]]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield found[a:b]
+
 
 _loaded: dict[str, WordTokenizer] = {}
 

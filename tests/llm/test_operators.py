@@ -330,6 +330,26 @@ def test_similar_passages_share_a_run():
             assert longest >= run
 
 
+def test_words_looked_up_together_have_the_same_ids(monkeypatch):
+    """Of a batch's words each is looked up once, and the ids are those of the library."""
+    import pyarrow as pa
+
+    from candlewick.llm import tokens
+
+    own = tokens.WordTokenizer(WORD)
+    texts = ["Hello, hello world.", None, "", "  a\tb\n\nc\rD!  ", "naïve ÉTÉ don't 's x<|y 123 4.5 漢字 \x0b\x0c", "world. " * 50, prose(77, 300)]
+    rows = pa.array(["skipped", *texts]).slice(1)
+    looked_up = []
+    find, own.words.find = own.words.find, lambda word: looked_up.append(word) or find(word)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 20)
+    for together in (8_000_000, 100, 1):
+        looked_up.clear()
+        monkeypatch.setattr(tokens, "_TOGETHER", together)
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(rows)]
+        assert found == [own.whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert together < 8_000_000 or len(looked_up) == len(set(looked_up))
+
+
 def test_packing(spark, odd, none):
     pieces = packing.pieces(odd, WORD)
     packed = packing.pack(pieces).collect()
