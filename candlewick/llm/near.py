@@ -34,6 +34,8 @@ RADIUS = 2 * CHUNKS - 1
 WORDS, SIMILARITY = 5, 80
 #: Rounds of hubs at most; the comparison of what still can be linked makes the result whole after any number.
 ROUNDS = 3
+#: Hubs that a node is compared with in a round but the first.
+HUBS = 4
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -142,15 +144,20 @@ def link_components(signed: DataFrame, texts: DataFrame, words: int, similarity:
     )
     for number in range(ROUNDS):
         mixed = store(_mixed(labelled()), f"{folder}/mixed{number}")
-        # The hub differs between rounds: the first in the order of a hash of its component and the round.
-        order = F.xxhash64("component", F.lit(number)) if number else F.col("component")
-        hubs = mixed.groupBy("key").agg(F.min(F.struct(order.alias("order"), F.col("node"), F.col("component"))).alias("hub"))
+        # What can still be linked is mostly linked with the largest component of a bucket, and not with every node of
+        # it: its hub differs between buckets and rounds, and a node is compared with a few that share most keys.
+        order = F.xxhash64("node", "key", F.lit(number)) if number else F.col("component")
+        hubs = mixed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("order"), "node")).alias("first"))
+        hubs = hubs.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "first.order", "first.node", "component")).alias("hub"))
+        likely = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("same")).alias("same"), F.xxhash64("a", F.lit(number)), "a"))), 1, HUBS if number else 1)
         pairs = (
             mixed.join(hubs, "key")
             .filter(F.col("component") != F.col("hub.component"))
+            .groupBy("node", F.col("hub.node").alias("a"))
+            .agg(F.count(F.lit(1)).alias("same"))
             .groupBy("node")
-            .agg(F.min("hub").alias("hub"))
-            .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+            .agg(likely.alias("likely"))
+            .select(F.explode("likely.a").alias("a"), F.col("node").alias("b"))
         )
         pairs = _sized(pairs, facts, similarity).join(tried, ["a", "b"], "left_anti")
         pairs = store(pairs, f"{folder}/tried/round={number + 1}")
