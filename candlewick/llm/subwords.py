@@ -24,6 +24,8 @@ from candlewick.llm.text import scratch, store
 CHUNK, BLOCK = 32_768, 256
 #: Words that a worker keeps, of up to so many characters: an executor has several workers.
 KNOWN_WORDS, LONG_WORD = 150_000, 100
+#: New words looked up at a time.
+_TOGETHER = 4_096
 _SPACE = "▁"
 #: Stands for a text's own _SPACE: a noncharacter, which texts do not have.
 _OWN = "\U0010ffff"
@@ -51,8 +53,46 @@ class Vocabulary:
         # Where a space follows another character no piece goes on, so every segmentation ends one there.
         self.splits = not any(_SPACE in piece.lstrip(_SPACE) for piece in self.pieces)
         self.words = _Words(self)
+        self.search, self.numbers, self.costs = self._search()
         self.said = [self.byte_of.get(i, name.replace(_SPACE, " ").encode()) for i, name in enumerate(self.names)]
 
+    def _search(self):
+        """The same search over whole words by a library, and the id and score of each of its pieces.
+
+        Its sums are of 64 bits too, and of equal ones it also keeps the first found. Unknown characters become
+        the ids of their bytes, of which the first has the score; None where there are no such ids.
+        """
+        if not self.bytes:
+            return None, None, None
+        from tokenizers import Tokenizer, models
+
+        least = min(score for _, score in self.pieces.values())
+        pieces = [("<unk>", self.unknown, least, self.unknown_score)]
+        pieces += [(piece, i, score, score) for piece, (i, score) in self.pieces.items()]
+        pieces += [(f"<0x{b:02X}>", i, least, 0.0 if 0x80 <= b < 0xC0 else self.unknown_score) for b, i in self.bytes.items()]
+        search = Tokenizer(models.Unigram([(piece, score) for piece, _, score, _ in pieces], 0, True))
+        return search, np.array([i for _, i, _, _ in pieces], "<u4"), np.array([cost for *_, cost in pieces])
+
+    def learn(self, words: list[str]) -> None:
+        """Look up many stretches at once, as far as they are not known; long ones are known until the next time."""
+        if self.search is None:
+            return
+        # A "<" may begin the name of a piece that no text has, and _OWN stands for another character.
+        new = [w for w in dict.fromkeys(words) if w not in self.words and "<" not in w and _OWN not in w]
+        if len(self.words) + len(new) > KNOWN_WORDS:
+            self.words.clear()
+            new = [w for w in dict.fromkeys(words) if "<" not in w and _OWN not in w]
+        self.words.long = {}
+        for at in range(0, len(new), _TOGETHER):
+            part = new[at : at + _TOGETHER]
+            found = self.search.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.int64)
+            edges = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))
+            scores = np.add.reduceat(self.costs[ids], edges[:-1]).tolist()
+            data, edges = self.numbers[ids].tobytes(), (4 * edges).tolist()
+            for word, score, start, stop in zip(part, scores, edges, edges[1:], strict=False):
+                (self.words if len(word) <= LONG_WORD else self.words.long)[word] = score, data[start:stop]
+
     def forward(self, text: str, best: list[float]) -> tuple[list[float], list[int]]:
         """Best scores of, and starts of the last pieces to, each place; ``best`` has those at the first places."""
         size = len(text)
@@ -111,8 +151,12 @@ class Vocabulary:
         return [*out, lead] if lead else out
 
     def encode(self, text: str) -> bytes:
-        known = self.words
-        return b"".join([known[w][1] for w in self.stretches(text)])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        known, parts = self.words, [self.stretches(text) for text in texts]
+        self.learn([w for part in parts for w in part])
+        return [b"".join([known[w][1] for w in part]) for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of a run of ids; the space before a text is still there."""
@@ -124,9 +168,11 @@ class _Words(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.long = vocabulary, {}
 
     def __missing__(self, word: str) -> tuple[float, bytes]:
+        if word in self.long:
+            return self.long[word]
         if len(self) >= KNOWN_WORDS:
             self.clear()
         best, back = self.vocabulary.forward(word, [0.0])
@@ -167,6 +213,7 @@ class Chunk:
         good = np.flatnonzero((ends >= self.states - 1) & (ends <= size) & (ends < len(text)))
         self.cuts = (int(ends[good[0]]), int(ends[good[-1]])) if len(good) else None
         self.middle = parts[good[0] + 1 : good[-1] + 1] if len(good) else []
+        words.learn(self.middle)
 
     def matrix(self) -> np.ndarray:
         """Best scores from each number of characters reached into it to each reached beyond it."""
@@ -234,7 +281,8 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
         for batch in batches:
             texts = [spaced(t.as_py()) for t in batch["text"]]
             none = pa.array([0] * len(texts), pa.int64())
-            ids = pa.array([words.encode(normal(t)) for t in texts], pa.binary())
+            groups = (texts[at : at + 64] for at in range(0, len(texts), 64))
+            ids = pa.array([i for group in groups for i in words.encode_all(list(map(normal, group)))], pa.binary())
             plain = pa.array([t.encode() for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], none, none, ids, plain], schema=kinds)
 

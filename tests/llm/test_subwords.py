@@ -38,6 +38,19 @@ def test_encoding_is_the_best_of_all_segmentations(words):
         assert np.frombuffer(words.encode(normal), "<u4").tolist() == best, text
 
 
+def test_words_looked_up_at_once_are_as_the_search_finds_them():
+    words, rng = subwords.Vocabulary(MODEL), np.random.default_rng(5)
+    letters = list("theanin▁ é中文😀äöü\t\n>0xA1&")
+    parts = ["▁" + "".join(rng.choice(letters, n)) for n in rng.integers(1, 200, 1000)] + ["▁<0x41>", "▁<unk>", f"▁a{subwords._OWN}"]
+    words.learn(parts)
+    known = [w for w in parts if w in words.words or w in words.words.long]
+    assert len(known) == 1000 and words.words.long
+    for word in parts:
+        best, back = words.forward(word, [0.0])
+        score, ids = words.words[word]
+        assert (score, np.frombuffer(ids, "<u4").tolist()) == (best[-1], words.path(word, back, len(word))[0])
+
+
 def test_chunks_make_the_same_ids_as_one_pass(spark, words):
     rows = [(i, text) for i, text in enumerate(TEXTS)] + [(None, "null id " * 40), (3, "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
