@@ -339,6 +339,73 @@ def test_passages_of_common_shingles_only(spark, monkeypatch):
     assert {r.doc_id for r in found} == set(range(11, 16)) and {r.of_doc_id for r in found} <= set(range(10, 15))
 
 
+def test_passages_may_overlap():
+    """Two words changed: the run between them is in a passage with the run before it and in one with the run after it."""
+    words = prose(2100, 88).split()
+    edited = [*words[:26], "x", *words[27:57], "y", *words[58:]]
+    every = passages.Shingled([" ".join(words).encode(), " ".join(edited).encode()], 5)
+    found = [" ".join(edited).encode()[s:e].decode().split() for s, e, *_ in passages.common_passages(every.of(0), every.of(1), 5, 50, 80)]
+    assert found == [edited[:57], edited[27:]]
+
+
+def test_areas_keep_every_byte_in_its_place(spark):
+    """Areas that touch, among them; all else is blank."""
+    pieces = [prose(2200 + n, 40) for n in range(6)]
+    texts = [(n, " ".join(x for m in range(6) for x in (pieces[(n + m) % 6], prose(2300 + 10 * n + m, 155 + 3 * n + 7 * m)))) for n in range(8)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("text", F.col("text").cast("binary"))
+    rows = passages.areas(docs, 5, 50, 19, scratch(spark)).filter("text IS NOT NULL").collect()
+    assert {r.doc_id for r in rows} == set(range(8))
+    for r in rows:
+        whole, kept = texts[r.doc_id][1].encode(), bytes(r.text)
+        assert all(x in (y, 32) for x, y in zip(kept, whole, strict=False)) and {*kept.split()} <= {*whole.split()}
+        assert all(piece.encode() in kept for piece in pieces)
+
+
+def test_copies_are_not_all_compared_with_each_other(spark, monkeypatch):
+    """Texts with two words changed each: a few partners of each are compared, and find nearly all that all would."""
+    tried, plain, words, rng = {}, passages.store, prose(2400, 120).split(), random.Random(5)
+
+    def counted(frame, folder):
+        stored = plain(frame, folder)
+        if folder.endswith("/stretches"):
+            tried[folder] = stored.count()
+        return stored
+
+    monkeypatch.setattr(passages, "store", counted)
+    rows = []
+    for n in range(60):
+        own = list(words)
+        for at in rng.sample(range(120), 2):
+            own[at] = f"own{n}x{at}"
+        rows.append((n, " ".join(own)))
+    every = passages.Shingled([text.encode() for _, text in rows], 5)
+    wanted = {}
+    for b in range(60):
+        spans = (span for a in range(b) for span in passages.common_passages(every.of(a), every.of(b), 5, 50, 80))
+        wanted[b] = {at for start, end, *_ in spans for at in range(start, end)}
+    for most, few in ((2048, 16), (20, 4)):
+        monkeypatch.setattr(passages, "ALL", most)
+        monkeypatch.setattr(passages, "FEW", few)
+        tried.clear()
+        found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sum(tried.values()) < 900, tried  # of 1,770 pairs
+        covered = {b: set() for b in range(60)}
+        for r in found:
+            covered[r.doc_id] |= set(range(r.start, r.end))
+        assert sum(len(covered[b] & wanted[b]) for b in range(60)) >= 0.98 * sum(map(len, wanted.values()))
+
+
+def test_crowded_seeds_find_what_others_find(spark, monkeypatch):
+    """Texts of one phrase and of two phrases with a word between them; a class holds no more than four."""
+    monkeypatch.setattr(passages, "ALL", 4)
+    monkeypatch.setattr(passages, "FEW", 2)
+    one, two = prose(2500, 31), prose(2501, 31)
+    rows = [(n, f"{prose(2600 + n, 30)} {one} {prose(2700 + n, 60)} {two} {prose(2800 + n, 30)}") for n in range(6)]
+    rows += [(10 + n, f"{prose(2900 + n, 30)} {one} between{n} {two} {prose(3900 + n, 30)}") for n in range(6)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(range(11, 16)) and {r.of_doc_id for r in found} <= set(range(10, 15))
+
+
 def test_similar_passages_share_a_run():
     """Against passages with words changed, left out and added at random."""
     rng = random.Random(11)
